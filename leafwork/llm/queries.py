@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafwork.llm import common, fingerprints, language, pieces, quality, secrets, toxicity
+from leafwork.llm import common, fingerprints, language, line_rules, mixing, pieces, quality, secrets, sharding, toxicity
 
 
 def tokenizer_path() -> str:
@@ -34,6 +34,15 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, model).select("doc_id", "held_out", "score", "predicted", "n_passages", "passages")
 
 
+def op3_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.filter_by_lines(common.table(spark, sf_dir, "documents"))
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mix(docs)
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_next(common.table(spark, sf_dir, "documents"))
 
@@ -50,11 +59,17 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(docs).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_spans")
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
+    return sharding.shuffle_into_shards(docs, "doc_id", 24).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     network = quality.fit_quality(labelled(spark, sf_dir, "quality", 4, 2))
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text", (common.fold("doc_id", 4) == 2).alias("held_out"))
     return quality.score_quality(docs, network).select("doc_id", "held_out", "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_pieces, op2_toxicity, op5_fingerprints, op6_language, op7_secrets, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_pieces, op2_toxicity, op3_line_rules, op4_mixing, op5_fingerprints, op6_language, op7_secrets, op8_sharding, op10_quality)}
 ORACLE_SQL: dict[str, str] = {}
