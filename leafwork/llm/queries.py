@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafwork.llm import common, fingerprints, language, line_rules, mixing, pieces, quality, secrets, sharding, toxicity
+from leafwork.llm import common, fingerprints, jaccard, language, line_rules, mixing, pieces, quality, secrets, sharding, toxicity
 
 
 def tokenizer_path() -> str:
@@ -65,11 +65,15 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shuffle_into_shards(docs, "doc_id", 24).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_join(common.table(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     network = quality.fit_quality(labelled(spark, sf_dir, "quality", 4, 2))
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text", (common.fold("doc_id", 4) == 2).alias("held_out"))
     return quality.score_quality(docs, network).select("doc_id", "held_out", "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_pieces, op2_toxicity, op3_line_rules, op4_mixing, op5_fingerprints, op6_language, op7_secrets, op8_sharding, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_pieces, op2_toxicity, op3_line_rules, op4_mixing, op5_fingerprints, op6_language, op7_secrets, op8_sharding, op9_jaccard, op10_quality)}
 ORACLE_SQL: dict[str, str] = {}
