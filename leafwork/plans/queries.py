@@ -1,2 +1,331 @@
-QUERIES = {}
-ORACLE_SQL = {}
+"""The core queries over the driver's tables, and DuckDB SQL for the same results."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from leafwork.functions import text as T
+from leafwork.operators import chunks, geometry, headings, pages
+from leafwork.plans import fixtures as fx
+from leafwork.sources import corpus
+
+CHUNK = 3
+
+
+def _long(df: DataFrame) -> DataFrame:
+    """Whole numbers as long, so that types agree with the SQL."""
+    return df.select(*[F.col(c).cast("long").alias(c) if t in ("int", "smallint", "tinyint") else F.col(c) for c, t in df.dtypes])
+
+
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.document_text(pages.page_results(fx.items(spark, sf_dir)))
+
+
+def heading_map(spark, sf_dir):
+    """Items to page texts, to the serialised document, and to the headings found in that."""
+    return _long(headings.headings_of_texts(_texts(spark, sf_dir)))
+
+
+def heading_count_per_doc(spark, sf_dir):
+    texts = _texts(spark, sf_dir)
+    return _long(headings.heading_records(headings.headings_of_texts(texts), texts).select("document", "n_headings"))
+
+
+def heading_excerpt(spark, sf_dir):
+    """R1: the headings with the first body line of their page."""
+    lines = T.exploded_lines(_texts(spark, sf_dir), "text", "doc")
+    found = headings.headings_of_lines(lines)
+    marks = lines.withColumn("_m", T.page_number(T.strip(F.col("line"))))
+    w = F.last("_m", ignorenulls=True)
+    from pyspark.sql import Window
+
+    paged = marks.withColumn("page", F.coalesce(w.over(Window.partitionBy("doc").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)), F.lit(0)))
+    return _long(headings.heading_excerpts(found, paged))
+
+
+def page_text(spark, sf_dir):
+    return _long(pages.assembled_pages(fx.items(spark, sf_dir, no_page=True)).select("doc", "page_index", "assembled"))
+
+
+def document_text(spark, sf_dir):
+    return _texts(spark, sf_dir)
+
+
+def noise_filter(spark, sf_dir):
+    lines = fx.lines(spark, sf_dir)
+    s = T.strip(F.col("line"))
+    df = lines.where(T.heading_level(s).isNotNull()).select("doc", "line_no", T.heading_text(s).alias("text"))
+    return _long(df.withColumn("noise", T.is_noise_heading(F.col("text"))))
+
+
+def normalize_lines(spark, sf_dir):
+    return _long(fx.lines(spark, sf_dir).select("doc", "line_no", T.normalize(F.concat(F.lit("  "), F.replace("line", F.lit(" "), F.lit(" \t")), F.lit("  "))).alias("line")))
+
+
+def strip_lines(spark, sf_dir):
+    return _long(fx.lines(spark, sf_dir).select("doc", "line_no", T.strip(F.concat(F.lit("\t "), "line", F.lit(" \x0b"))).alias("line"), T.is_blank(F.col("line")).alias("blank")))
+
+
+def split_document_lines(spark, sf_dir):
+    docs = fx.table(spark, sf_dir, "documents").select("doc_id", F.concat("text", F.lit("\r\nlast\n")).alias("text"))
+    return _long(T.exploded_lines(docs, "text", "doc_id"))
+
+
+def markdown_unescape(spark, sf_dir):
+    md, _ = fx.markdown(spark, sf_dir)
+    return _long(md.select("doc", "line_no", T.unescape_markdown(F.replace("line", F.lit(" "), F.lit("\\_"))).alias("line")))
+
+
+def md_heading_dict(spark, sf_dir):
+    return _long(headings.markdown_headings(fx.markdown(spark, sf_dir)[0]))
+
+
+def _promoted(spark, sf_dir):
+    md, lines = fx.markdown(spark, sf_dir)
+    return headings.promoted_lines(lines, headings.markdown_headings(md))
+
+
+def backfill_join(spark, sf_dir):
+    return _long(_promoted(spark, sf_dir).select("doc", "page_index", "line_no", "out"))
+
+
+def backfill_pages(spark, sf_dir):
+    return _long(headings.rebuilt_pages(_promoted(spark, sf_dir)))
+
+
+def backfill_counts(spark, sf_dir):
+    return _long(headings.rebuilt_pages(_promoted(spark, sf_dir)).groupBy("doc").agg(F.sum("n_matched").alias("n_matched")))
+
+
+def backfill_status(spark, sf_dir):
+    """Guards: reports without Markdown, pages or headings are told apart."""
+    docs = fx.corpus(spark, sf_dir).select(F.col("stem").alias("doc"), "doc_id")
+    some = lambda m: docs.where(F.col("doc_id") % m != 0)
+    return corpus.with_status(docs, some(5), some(7), some(11))
+
+
+def backfill_summary(spark, sf_dir):
+    return headings.backfill_summary(backfill_status(spark, sf_dir))
+
+
+def dense_page_spine(spark, sf_dir):
+    return _long(pages.page_spine(pages.assembled_pages(fx.items(spark, sf_dir, gaps=True))))
+
+
+def page_spine_with_ocr(spark, sf_dir):
+    """Pages that only recognition registered belong to the spine as well."""
+    ocr = fx.items(spark, sf_dir).groupBy("doc").agg((F.max("page_no") + 2).cast("int").alias("page_no"))
+    return _long(pages.page_spine(pages.assembled_pages(fx.items(spark, sf_dir, gaps=True)), ocr))
+
+
+def reading_order(spark, sf_dir):
+    cells = fx.geometry(spark, sf_dir).withColumn("t", F.col("top")).withColumn("confidence", F.lit(0.5))
+    return _long(pages.raw_pages(cells).select("doc", "page_index", "raw"))
+
+
+def raw_fallback(spark, sf_dir):
+    return _long(pages.page_results(fx.items(spark, sf_dir), fx.raw_cells(spark, sf_dir)).select("doc", "page_index", "full_text", "recovered"))
+
+
+def recovered_pages(spark, sf_dir):
+    return _long(pages.recovered_counts(pages.page_results(fx.items(spark, sf_dir), fx.raw_cells(spark, sf_dir))))
+
+
+def page_nested_roundtrip(spark, sf_dir):
+    """Page records to JSON and back, flattened."""
+    result = pages.page_results(fx.items(spark, sf_dir))
+    record = F.to_json(F.struct("page_index", "image_path", "text_lines", "full_text"))
+    back = result.select("doc", F.from_json(record, corpus.PAGE_SCHEMA).alias("p")).select("doc", "p.*")
+    return _long(back.select("doc", "page_index", "full_text", F.posexplode("text_lines").alias("line_no", "x")).select("doc", "page_index", "full_text", "line_no", F.col("x.text").alias("text"), F.col("x.confidence").alias("confidence"), F.size("x.bbox").alias("n_bbox")))
+
+
+def skip_completed(spark, sf_dir):
+    return corpus.skip_completed(fx.table(spark, sf_dir, "documents").select("doc_id", "source"), fx.table(spark, sf_dir, "labels"), "doc_id")
+
+
+def start_from(spark, sf_dir):
+    return corpus.start_from(fx.corpus(spark, sf_dir), "doc.5").select("stem")
+
+
+def report_stem(spark, sf_dir):
+    return corpus.reject_collisions(corpus.with_report_stem(fx.corpus(spark, sf_dir))).select("doc_id", "stem", "report_stem", "collides")
+
+
+def _names(spark, sf_dir):
+    docs = fx.corpus(spark, sf_dir).where("doc_id % 17 = 0")
+    listed = docs.select((F.lit(10**6) - F.col("doc_id")).cast("int").alias("list_pos"), F.concat(F.lit(" "), "stem", F.when(F.col("doc_id") % 2 == 0, ".PDF").otherwise("")).alias("name"))
+    extra = spark.createDataFrame([(2 * 10**6, "missing.pdf"), (2 * 10**6 + 1, "Doc.17"), (2 * 10**6 + 2, "  ")], "list_pos int, name string")
+    return listed.unionByName(extra)
+
+
+def allow_list(spark, sf_dir):
+    found, _ = corpus.allow_list(fx.corpus(spark, sf_dir), _names(spark, sf_dir))
+    return _long(found.select("list_pos", "stem", "doc_id"))
+
+
+def allow_list_missing(spark, sf_dir):
+    _, missing = corpus.allow_list(fx.corpus(spark, sf_dir), _names(spark, sf_dir))
+    return _long(missing.select("list_pos", "stem"))
+
+
+def chunk_gate(spark, sf_dir):
+    return _long(fx.corpus(spark, sf_dir).select("stem", "n_pages", chunks.is_chunked(F.col("n_pages"), CHUNK).alias("chunked")))
+
+
+def _plan(spark, sf_dir):
+    return chunks.plan_chunks(fx.corpus(spark, sf_dir).withColumn("doc", F.col("stem")), CHUNK, "doc", "doc_id")
+
+
+def chunk_plan(spark, sf_dir):
+    return _long(_plan(spark, sf_dir).select("doc", "chunk_start", "chunk_end", "chunk_name"))
+
+
+def chunk_offset(spark, sf_dir):
+    """Chunk-local page numbers turned into the document's."""
+    local = _plan(spark, sf_dir).select("doc", "chunk_start", F.explode(F.sequence(F.lit(0), F.col("chunk_end") - F.col("chunk_start") - 1)).alias("page_index"))
+    return _long(chunks.offset_pages(local))
+
+
+def chunk_merge_text(spark, sf_dir):
+    """Chunks' texts in order; every fourth chunk has none."""
+    md = F.when(F.col("chunk_start") % 4 != 3, F.concat("chunk_name", F.lit(" of "), "doc"))
+    return chunks.merge_texts(_plan(spark, sf_dir).withColumn("md", md))
+
+
+def resume_work_set(spark, sf_dir):
+    """Planned chunks: cached ones are reused, if their whole range is the same."""
+    plan = _plan(spark, sf_dir)
+    cache = plan.where("chunk_start % 2 = 0").withColumn("chunk_end", F.when(F.col("doc_id") % 5 == 0, F.col("chunk_end") + 1).otherwise(F.col("chunk_end")))
+    work, reused = chunks.resume(plan, cache)
+    keep = ["doc", "chunk_start", "chunk_end"]
+    return _long(work.select(*keep, F.lit("work").alias("state")).unionByName(reused.select(*keep, F.lit("reused").alias("state"))))
+
+
+def bbox_transform(spark, sf_dir):
+    cells = fx.geometry(spark, sf_dir).withColumns({"rect_l": F.lit(36.0), "rect_t": F.lit(72.0)})
+    return _long(geometry.to_page_points(cells).select("doc", "item_no", *[F.round(c, 6).alias(c) for c in "ltrb"]))
+
+
+def bbox_flip(spark, sf_dir):
+    return _long(geometry.flipped(fx.geometry(spark, sf_dir), F.lit(792.0)).select("doc", "item_no", F.round("y0", 6).alias("y0"), F.round("y1", 6).alias("y1")))
+
+
+def overlay_commands(spark, sf_dir):
+    df = geometry.overlay_commands(fx.geometry(spark, sf_dir), F.lit(792.0), F.lit(2))
+    return _long(df.withColumns({c: F.round(c, 6) for c in ("x", "y", "fontsize")}))
+
+
+def figure_names(spark, sf_dir):
+    return _long(geometry.named_figures(fx.figures(spark, sf_dir)).select("doc", "figure_no", "file"))
+
+
+def figure_manifest(spark, sf_dir):
+    """Manifest texts, without boxes, whose decimals print differently elsewhere."""
+    df = geometry.named_figures(fx.figures(spark, sf_dir)).withColumns({"bbox": F.lit(None).cast("array<double>"), "class_name": F.when(F.col("vec_id") % 3 == 0, "chart"), "caption": F.when(F.col("vec_id") % 2 == 0, "a figure")})
+    return _long(geometry.figure_manifest(df, captioned=True))
+
+
+def main_class(spark, sf_dir):
+    p = fx.figures(spark, sf_dir).select("doc", "pic_no", F.posexplode(F.slice("bbox", 1, 3)).alias("k", "confidence"))
+    return _long(geometry.main_class(p.select("doc", "pic_no", F.concat(F.lit("class"), F.col("k").cast("string")).alias("class_name"), "confidence")))
+
+
+def extract_summary(spark, sf_dir):
+    docs = fx.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"))
+    return headings.extract_summary(docs, fx.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("doc")))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        heading_map, heading_count_per_doc, heading_excerpt, page_text, document_text, noise_filter, normalize_lines, strip_lines, split_document_lines, markdown_unescape, md_heading_dict,
+        backfill_join, backfill_pages, backfill_counts, backfill_status, backfill_summary, dense_page_spine, page_spine_with_ocr, reading_order, raw_fallback, recovered_pages,
+        page_nested_roundtrip, skip_completed, start_from, report_stem, allow_list, allow_list_missing, chunk_gate, chunk_plan, chunk_offset, chunk_merge_text, resume_work_set,
+        bbox_transform, bbox_flip, overlay_commands, figure_names, figure_manifest, main_class, extract_summary,
+    )
+}
+
+# --- the same in SQL ---------------------------------------------------------------------------------------------
+
+_CONV = """c AS (SELECT 'conv_' || conv_id AS doc, turn, role, u.line, u.i - 1 AS k
+  FROM conversations, LATERAL (SELECT unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i) u {where}),
+i AS (SELECT doc, turn, k, row_number() OVER (PARTITION BY doc ORDER BY turn, k) - 1 AS item_no, line AS text,
+  CASE role WHEN 'system' THEN '# ' || line WHEN 'user' THEN repeat('#', least(turn % 7 + 2, 6)) || ' ' || line ELSE line END AS m FROM c WHERE line <> '')"""
+_ITEMS = _CONV.format(where="")
+_GAPS = _CONV.format(where="WHERE turn % 3 <> 1")
+_PAGES = f"""{_ITEMS},
+p AS (SELECT doc, turn AS page, string_agg(m, chr(10) ORDER BY item_no) AS t FROM i GROUP BY doc, turn),
+spine AS (SELECT doc, unnest(range(mx + 1)) AS page FROM (SELECT doc, max(page) AS mx FROM p GROUP BY doc)),
+full_p AS (SELECT s.doc, s.page, coalesce(p.t, '') AS t FROM spine s LEFT JOIN p USING (doc, page)),
+d AS (SELECT doc, string_agg('=== Page ' || page || ' ===' || chr(10) || t, chr(10) || chr(10) ORDER BY page) AS text FROM full_p GROUP BY doc)"""
+_MARKED = f"""{_PAGES},
+ln AS (SELECT doc, u.i - 1 AS line_no, u.line, trim(u.line, ' ' || chr(9)) AS s FROM d, LATERAL (SELECT unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i) u),
+mk AS (SELECT *, TRY_CAST(nullif(regexp_extract(s, '^===\\s*Page\\s+([0-9]+)\\s*===$', 1), '') AS BIGINT) AS mark FROM ln),
+pg AS (SELECT *, coalesce(last_value(mark IGNORE NULLS) OVER (PARTITION BY doc ORDER BY line_no ROWS UNBOUNDED PRECEDING), 0) AS page FROM mk),
+h AS (SELECT doc, line_no, page, trim(regexp_extract(s, '^#{{1,6}}\\s+(.+)$', 1)) AS text FROM pg WHERE mark IS NULL AND regexp_matches(s, '^#{{1,6}}\\s+(.+)$')),
+hh AS (SELECT * FROM h WHERE length(text) >= 4 AND NOT regexp_matches(text, '^[0-9\\s.\\-,:;()\\[\\]{{}}/\\\\]+$'))""".replace("{{", "{").replace("}}", "}")
+_LINES = """l0 AS (SELECT 'doc_' || doc_id AS doc, doc_id, u.i - 1 AS line_no, u.line FROM documents, LATERAL (SELECT unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i) u),
+l AS (SELECT doc, line_no, CASE WHEN line_no % 11 = 0 THEN '## ' || (line_no * 37) || ' - ' || doc_id WHEN line_no % 5 = 0 THEN repeat('#', CAST(line_no % 7 + 1 AS INT)) || ' ' || left(line, 40) ELSE line END AS line FROM l0)"""
+_MD = """p0 AS (SELECT 'page_' || page_id AS doc, regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1) AS h1, regexp_extract(html, '(?s)<p[^>]*>(.*?)</p>', 1) AS p FROM pages),
+md AS (SELECT doc, u.i - 1 AS line_no, u.line FROM p0, LATERAL (SELECT unnest(['## ' || h1, 'body text', '#### ' || h1, '  ## Padded']) AS line, generate_subscripts([1, 2, 3, 4], 1) AS i) u),
+hd AS (SELECT doc, line_no, length(regexp_extract(line, '^(#{1,6})\\s+.+', 1)) AS level, trim(regexp_replace(regexp_replace(replace(replace(replace(replace(replace(regexp_extract(line, '^#{1,6}\\s+(.+)$', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&copy;', '©'), '&amp;', '&'), '\\\\([_*`\\[\\]()#+\\-.!|])', '\\1', 'g'), '\\s+', ' ', 'g')) AS key FROM md WHERE regexp_matches(line, '^#{1,6}\\s+(.+)$')),
+dict AS (SELECT doc, key, arg_max(level, line_no) AS level FROM hd GROUP BY doc, key),
+pl AS (SELECT doc, 0 AS page_index, u.i - 1 AS line_no, u.line FROM p0, LATERAL (SELECT unnest(['  ' || replace(replace(replace(replace(h1, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') || ' ', p, 'body text']) AS line, generate_subscripts([1, 2, 3], 1) AS i) u),
+pr AS (SELECT pl.doc, page_index, line_no, dict.level, CASE WHEN dict.level IS NULL THEN line ELSE repeat('#', dict.level) || ' ' || line END AS out FROM pl LEFT JOIN dict ON pl.doc = dict.doc AND trim(regexp_replace(pl.line, '\\s+', ' ', 'g')) = dict.key)"""
+_CORPUS = "f AS (SELECT doc_id, 'Doc.' || doc_id || CASE WHEN doc_id % 3 = 0 THEN '_ocr' ELSE '' END AS stem, 1 + n_chars // 500 AS n_pages FROM documents)"
+_PLAN = f"{_CORPUS}, plan AS (SELECT stem AS doc, doc_id, n_pages, s AS chunk_start, least(s + {CHUNK}, n_pages) AS chunk_end, printf('chunk_%05d', s) AS chunk_name FROM (SELECT *, unnest(range(0, n_pages, {CHUNK})) AS s FROM f WHERE n_pages > {CHUNK}))"
+_NAMES = f"""{_CORPUS}, nm AS (SELECT 1000000 - doc_id AS list_pos, stem FROM f WHERE doc_id % 17 = 0 UNION ALL SELECT 2000000, 'missing' UNION ALL SELECT 2000001, 'Doc.17')"""
+_GEO = """g0 AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS item_no, (l_partkey % 105) * 7.5::DOUBLE AS top FROM lineitem),
+g AS (SELECT l_orderkey AS doc, item_no, l_linenumber % 3 + 1 AS page_no, l_quantity::DOUBLE AS l, (l_quantity + l_suppkey % 40)::DOUBLE AS r, top,
+  CASE WHEN l_linestatus = 'F' THEN top + l_linenumber * 2.5 - 1 ELSE top END::DOUBLE AS t, CASE WHEN l_linestatus = 'F' THEN top ELSE top + l_linenumber * 2.5 - 1 END::DOUBLE AS b,
+  CASE WHEN l_returnflag = 'R' THEN '  ' ELSE l_returnflag || l_linestatus END AS text, l_linestatus = 'F' AS bottom FROM g0)"""
+_FIG = """fg AS (SELECT 'd' || label AS doc, vec_id, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS pic_no, CASE WHEN vec_id % 11 <> 0 THEN vec_id % 7 END AS page, embedding, vec_id % 5 <> 0 AS has_image FROM embeddings),
+fn AS (SELECT *, 'fig_p' || coalesce(CAST(page AS VARCHAR), 'x') || '_' || printf('%03d', pic_no) || '.png' AS file FROM fg WHERE has_image)"""
+_FALLBACK = f"""{_PAGES},
+cell AS (SELECT doc, turn AS page, k, CASE turn % 4 WHEN 0 THEN m || ' rawxxxxxxxxx' WHEN 1 THEN left(text, 3) ELSE m END AS x FROM i WHERE turn % 4 <> 3),
+raw AS (SELECT doc, page, string_agg(x, chr(10) ORDER BY k) AS x FROM cell WHERE trim(x) <> '' GROUP BY doc, page),
+fb AS (SELECT f.doc, f.page AS page_index, coalesce(length(trim(raw.x, ' ' || chr(10))) > length(trim(f.t, ' ' || chr(10))), false) AS recovered, raw.x, f.t FROM full_p f LEFT JOIN raw USING (doc, page))"""
+_STATUS = f"{_CORPUS}, st AS (SELECT stem AS doc, CASE WHEN doc_id % 5 = 0 THEN 'no_markdown' WHEN doc_id % 7 = 0 THEN 'no_pages' WHEN doc_id % 11 = 0 THEN 'no_headings' ELSE 'ready' END AS status FROM f)"
+
+ORACLE_SQL = {
+    "heading_map": f"WITH {_MARKED} SELECT doc, line_no, page, text FROM hh",
+    "heading_count_per_doc": f"WITH {_MARKED} SELECT d.doc AS document, count(hh.doc) AS n_headings FROM d LEFT JOIN hh USING (doc) GROUP BY d.doc",
+    "heading_excerpt": f"WITH {_MARKED}, ex AS (SELECT doc, page, arg_min(line, line_no) AS excerpt FROM pg WHERE s <> '' AND mark IS NULL AND NOT regexp_matches(s, '^#{{1,6}}\\s+(.+)$') GROUP BY doc, page) SELECT hh.doc, hh.page, line_no, text, excerpt FROM hh LEFT JOIN ex USING (doc, page)",
+    "page_text": f"WITH {_ITEMS} SELECT doc, CASE WHEN turn % 5 <> 4 THEN turn ELSE 0 END AS page_index, string_agg(m, chr(10) ORDER BY item_no) AS assembled FROM i GROUP BY ALL",
+    "document_text": f"WITH {_PAGES} SELECT doc, text FROM d",
+    "noise_filter": f"WITH {_LINES}, h AS (SELECT doc, line_no, trim(regexp_extract(trim(line), '^#{{1,6}}\\s+(.+)$', 1)) AS text FROM l WHERE regexp_matches(trim(line), '^#{{1,6}}\\s+(.+)$')) SELECT doc, line_no, text, length(text) < 4 OR regexp_matches(text, '^[0-9\\s.\\-,:;()\\[\\]{{}}/\\\\]+$') AS noise FROM h",
+    "normalize_lines": f"WITH {_LINES} SELECT doc, line_no, trim(regexp_replace(line, '\\s+', ' ', 'g')) AS line FROM l",
+    "strip_lines": f"WITH {_LINES} SELECT doc, line_no, trim(line) AS line, trim(line) = '' AS blank FROM l",
+    "split_document_lines": "WITH a AS (SELECT doc_id, list_concat(string_split(text, chr(10)), ['last']) AS x FROM documents) SELECT doc_id, generate_subscripts(x, 1) - 1 AS line_no, unnest(x) AS line FROM a",
+    "markdown_unescape": f"WITH {_MD} SELECT doc, line_no, replace(replace(replace(replace(replace(replace(line, ' ', '_'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&copy;', '©'), '&amp;', '&') AS line FROM md",
+    "md_heading_dict": f"WITH {_MD} SELECT doc, key, level FROM dict",
+    "backfill_join": f"WITH {_MD} SELECT doc, page_index::BIGINT AS page_index, line_no, out FROM pr",
+    "backfill_pages": f"WITH {_MD} SELECT doc, page_index::BIGINT AS page_index, string_agg(out, chr(10) ORDER BY line_no) AS full_text, count(level) AS n_matched FROM pr GROUP BY doc, page_index",
+    "backfill_counts": f"WITH {_MD} SELECT doc, count(level) AS n_matched FROM pr GROUP BY doc",
+    "backfill_status": f"WITH {_STATUS} SELECT doc, status FROM st",
+    "backfill_summary": f"WITH {_STATUS} SELECT count(*) FILTER (status = 'ready') AS would_write, count(*) AS total FROM st",
+    "dense_page_spine": f"WITH {_GAPS} SELECT doc, unnest(range(mx + 1)) AS page_index FROM (SELECT doc, max(turn) AS mx FROM i GROUP BY doc)",
+    "page_spine_with_ocr": "SELECT 'conv_' || conv_id AS doc, unnest(range(mx + 3)) AS page_index FROM (SELECT conv_id, max(turn) AS mx FROM conversations GROUP BY conv_id)",
+    "reading_order": f"WITH {_GEO} SELECT doc, page_no - 1 AS page_index, string_agg(text, chr(10) ORDER BY round_even(top / 15, 0), l, item_no) AS raw FROM g WHERE trim(text) <> '' GROUP BY doc, page_no",
+    "raw_fallback": f"WITH {_FALLBACK} SELECT doc, page_index, CASE WHEN recovered THEN x ELSE t END AS full_text, recovered FROM fb",
+    "recovered_pages": f"WITH {_FALLBACK} SELECT doc, count(*) AS n_pages, count(*) FILTER (recovered) AS n_recovered FROM fb GROUP BY doc",
+    "page_nested_roundtrip": f"WITH {_PAGES} SELECT i.doc, i.turn AS page_index, p.t AS full_text, row_number() OVER (PARTITION BY i.doc, i.turn ORDER BY item_no) - 1 AS line_no, m AS text, 1.0::DOUBLE AS confidence, 0::BIGINT AS n_bbox FROM i JOIN p ON i.doc = p.doc AND i.turn = p.page",
+    "skip_completed": "SELECT doc_id, source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)",
+    "start_from": f"WITH {_CORPUS} SELECT stem FROM f WHERE upper(stem) >= 'DOC.5'",
+    "report_stem": f"WITH {_CORPUS}, r AS (SELECT doc_id, stem, regexp_replace(stem, '_ocr$', '') AS report_stem FROM f) SELECT *, count(*) OVER (PARTITION BY report_stem) > 1 AS collides FROM r",
+    "allow_list": f"WITH {_NAMES} SELECT list_pos, stem, doc_id FROM nm JOIN f USING (stem)",
+    "allow_list_missing": f"WITH {_NAMES} SELECT list_pos, stem FROM nm WHERE stem NOT IN (SELECT stem FROM f)",
+    "chunk_gate": f"WITH {_CORPUS} SELECT stem, n_pages, n_pages > {CHUNK} AS chunked FROM f",
+    "chunk_plan": f"WITH {_PLAN} SELECT doc, chunk_start, chunk_end, chunk_name FROM plan",
+    "chunk_offset": f"WITH {_PLAN} SELECT doc, chunk_start, unnest(range(chunk_start, chunk_end)) AS page_index FROM plan",
+    "chunk_merge_text": f"WITH {_PLAN} SELECT doc, coalesce(string_agg(CASE WHEN chunk_start % 4 <> 3 THEN chunk_name || ' of ' || doc END, chr(10) || chr(10) ORDER BY chunk_start), '') AS md FROM plan GROUP BY doc",
+    "resume_work_set": f"WITH {_PLAN} SELECT doc, chunk_start, chunk_end, CASE WHEN chunk_start % 2 = 0 AND doc_id % 5 <> 0 THEN 'reused' ELSE 'work' END AS state FROM plan",
+    "bbox_transform": f"WITH {_GEO} SELECT doc, item_no, round(l / 2 + 36, 6) AS l, round(t / 2 + 72, 6) AS t, round(r / 2 + 36, 6) AS r, round(b / 2 + 72, 6) AS b FROM g",
+    "bbox_flip": f"WITH {_GEO} SELECT doc, item_no, round(CASE WHEN bottom THEN 792 - t ELSE t END, 6) AS y0, round(CASE WHEN bottom THEN 792 - b ELSE b END, 6) AS y1 FROM g",
+    "overlay_commands": f"WITH {_GEO}, fl AS (SELECT *, CASE WHEN bottom THEN 792 - t ELSE t END AS y0, CASE WHEN bottom THEN 792 - b ELSE b END AS y1 FROM g) SELECT doc, page_no - 1 AS page_index, round(l, 6) AS x, round(y1, 6) AS y, round(greatest(4.0::DOUBLE, (y1 - y0) * 0.8::DOUBLE), 6) AS fontsize, text, item_no FROM fl WHERE trim(text) <> '' AND page_no <= 2 AND r > l AND y1 > y0 AND y1 - y0 >= 2",
+    "figure_names": f"WITH {_FIG} SELECT doc, pic_no AS figure_no, file FROM fn",
+    "figure_manifest": f"""WITH {_FIG} SELECT doc, count(*) AS n_figures, '{{"n_figures":' || count(*) || ',"figures":[' || string_agg('{{"file":"' || file || '","page":' || coalesce(CAST(page AS VARCHAR), 'null') || ',"bbox":null' || CASE WHEN vec_id % 3 = 0 THEN ',"classification":"chart"' ELSE '' END || ',"caption":' || CASE WHEN vec_id % 2 = 0 THEN '"a figure"' ELSE 'null' END || '}}', ',' ORDER BY pic_no) || ']}}' AS json FROM fn GROUP BY doc""",
+    "main_class": f"WITH {_FIG}, e AS (SELECT doc, pic_no, u.k, u.c FROM fg, LATERAL (SELECT unnest(embedding[1:3]) AS c, generate_subscripts(embedding[1:3], 1) - 1 AS k) u) SELECT doc, pic_no, 'class' || arg_max(k, c) AS class_name FROM e GROUP BY doc, pic_no",
+    "extract_summary": "SELECT count(*) FILTER (l.doc_id IS NULL) AS written, count(*) FILTER (l.doc_id IS NOT NULL) AS skipped FROM documents d LEFT JOIN labels l USING (doc_id)",
+}
