@@ -9,11 +9,11 @@ columns is the same for both; a row's blocks are known by hashes of what is in t
 never multiplied. The number of blocks depends on a size class; sets near a class's border also appear in the next
 one. A row without entries in a block takes part by a second dealing instead.
 
-Products. Rows that share blocks are multiplied a group against one row at a time: the overlap counts accumulate
-over the columns, and pairs whose sizes alone forbid the overlap are dropped before. In a group all rows are first
-multiplied with one of them. Where all link, they are one class and no other pair matters; only in groups where
-some did not link and classes remain apart, the pairs across the classes are multiplied as well. So no link that
-could join two classes is lost, and large groups of copies cost one product a row, not one a pair.
+Products. The overlap counts of rows accumulate over the columns, and pairs whose sizes alone forbid the overlap
+are dropped before. In a group that shares a block all rows are first multiplied with one of them, a few times with
+another one. Where all link, they are one class and no other pair matters. Where classes remain apart, the rows
+outside the largest class are multiplied with all rows of the group's cluster, block by block. So no link that
+could join two classes is lost, and large groups of copies cost a few products a row, not one a pair.
 
 Sets are known by 64-bit hashes of their shingles' 64-bit hashes: two of n different sets get the same id with
 probability n * n / 2**65.
@@ -22,23 +22,71 @@ probability n * n / 2**65.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafwork.llm.common import cut
+from leafwork.llm.common import cut, unit_hash
 
 #: Odd multipliers of the hash functions: fixed values.
 A, B, C, M1, M2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53))
 WORDS_KEPT = 400_000
-#: Link: SHARE * union <= 100 * overlap; it follows that sets differ in at most (sizes' sum) / APART elements.
-SHARE, APART = 90, 19
 BITMAP_WORDS = 1 << 17
 
 
+@dataclass(frozen=True)
+class Bound:
+    """What links: 100 * overlap >= share * union, of sets of `width`-word shingles.
+
+    columns says how rows are brought together: `blocks`, or `prefix` for shingles that few unrelated texts share.
+    Of a set's shingles in one order for all, two sets that link share one among the first n - share * n + 1; shingles
+    that are frequent in a sample come last in that order, which changes the cost but not the result.
+    """
+
+    width: int = 3
+    share: int = 90
+    columns: str = "blocks"
+    frequent: np.ndarray | None = None
+
+    def size_classes(self, n: int) -> list[tuple[int, int]]:
+        """The classes in which a set of n elements appears: class number and its number of column blocks.
+
+        Linked sets differ in at most (100 - share) / (100 + share) of their sizes' sum. Classes grow by half; the
+        first begins with the smallest size at which different sets can link.
+        """
+        out, low, k = [], 100 // (100 - self.share), 0
+        while low * self.share <= n * 100:
+            high = max(low + 1, low * 3 // 2)
+            if n < high:
+                out.append((k, 2 * (high - 1) * (100 - self.share) // (100 + self.share) + 1))
+            low, k = high, k + 1
+        return out
+
+    def keys(self, s: np.ndarray) -> np.ndarray:
+        """Hashes by which the set meets all sets that it may link to."""
+        if self.columns == "blocks":
+            return block_keys(s, self.size_classes(len(s)))
+        if not len(s):
+            return np.zeros(0, np.int64)
+        order = s
+        if self.frequent is not None and len(self.frequent):
+            at = np.minimum(np.searchsorted(self.frequent, s), len(self.frequent) - 1)
+            late = self.frequent[at] == s
+            order = np.concatenate([s[~late], s[late]])
+        return order[: len(s) - -(-self.share * len(s) // 100) + 1].view(np.int64)
+
+    def sizes_allow(self, na: str, nb: str) -> Column:
+        """Whether the sizes allow the overlap."""
+        return F.least(na, nb) * 100 >= F.greatest(na, nb) * self.share
+
+    def holds(self, overlap: np.ndarray, na: np.ndarray | int, nb: np.ndarray) -> np.ndarray:
+        return 100 * overlap >= self.share * (na + nb - overlap)
+
+
 def times(k: int, m: np.uint64) -> np.uint64:
     """k * m modulo 2**64, of scalars."""
     return np.uint64(k * int(m) & 0xFFFFFFFFFFFFFFFF)
@@ -54,8 +102,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
 _words: dict[bytes, int] = {}
 
 
-def shingle_set(text: str | None) -> np.ndarray:
-    """Sorted distinct hashes of the three-word shingles; of the whole sequence if it is shorter; empty without words."""
+def shingle_set(text: str | None, width: int = 3) -> np.ndarray:
+    """Sorted distinct hashes of the shingles of `width` words; of the whole sequence if it is shorter; empty without words."""
     words = (text or "").encode().lower().split()  # of bytes: only A-Z change, only 09 to 0D and space separate
     if not words:
         return np.zeros(0, np.uint64)
@@ -68,9 +116,11 @@ def shingle_set(text: str | None) -> np.ndarray:
             i = _words[w] = xxhash.xxh3_64_intdigest(w)
         ids.append(i)
     x = np.array(ids, dtype=np.uint64)
-    if len(x) < 3:
-        return mixed((x * np.array([A, B])[: len(x)]).sum(keepdims=True) + np.uint64(len(x)))
-    return np.unique(mixed(x[:-2] * A + x[1:-1] * B + x[2:] * C))
+    n = max(1, len(x) - width + 1)
+    h = np.full(n, min(len(x), width), np.uint64)
+    for k in range(min(len(x), width)):
+        h += x[k : k + n] * np.uint64(pow(int(A), k + 1, 1 << 64))
+    return np.unique(mixed(h))
 
 
 def set_id(s: np.ndarray) -> int:
@@ -78,20 +128,6 @@ def set_id(s: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).astype(np.int64))
 
 
-def size_classes(n: int) -> list[tuple[int, int]]:
-    """The classes in which a set of n elements appears: class number and its number of column blocks.
-
-    Classes begin at 10 elements and grow by half; smaller sets link to equal ones only, but for nine and ten.
-    """
-    out, low, k = [], 10, 0
-    while low * 9 <= n * 10:
-        high = max(low + 1, low * 3 // 2)
-        if n < high:
-            out.append((k, 2 * (high - 1) // APART + 1))
-        low, k = high, k + 1
-    return out
-
-
 def _dealt(s: np.ndarray, blocks: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
     """For each block whether it has entries, and the sum of their hashes."""
     h = mixed(s + times(salt, C))
@@ -105,10 +141,10 @@ def _dealt(s: np.ndarray, blocks: int, salt: int) -> tuple[np.ndarray, np.ndarra
     return has, sums
 
 
-def block_keys(s: np.ndarray) -> np.ndarray:
+def block_keys(s: np.ndarray, classes: list[tuple[int, int]]) -> np.ndarray:
     """Hashes of the contents of the set's column blocks: two sets that link and differ share at least one."""
     keys = []
-    for k, blocks in size_classes(len(s)):
+    for k, blocks in classes:
         has, sums = _dealt(s, blocks, 2 * k + 1)
         places = np.arange(blocks, dtype=np.uint64)
         base = times(k + 1, A)
@@ -134,92 +170,89 @@ def _texts(batches: Iterator[pa.RecordBatch], most_rows: int, most_bytes: int) -
         yield rows
 
 
-def with_sets(df: DataFrame, key: str, text_col: str) -> DataFrame:
-    """id, n (size of the set) and set (its id, null if empty) of each row."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _texts(batches, 2048, 1 << 24):
-            sets = [shingle_set(t) for _, t in rows]
-            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) if len(s) else None for s in sets], pa.int64())], names=["id", "n", "set"])
-
-    return df.select(F.col(key).cast("long"), F.col(text_col)).mapInArrow(run, "id long, n long, set long")
+KINDS = "kind byte, key long, a long, b long, na long, nb long"
+_NAMES = ["kind", "key", "a", "b", "na", "nb"]
+DOCUMENT, EDGE, GROUP = 0, 1, 2
 
 
-def block_groups(df: DataFrame, text_col: str) -> DataFrame:
-    """key, a, b, na, nb: for each group of sets that share a block, edges from one of them that reach all others.
+def incidence(df: DataFrame, key: str, text_col: str, bound: Bound) -> DataFrame:
+    """One pass over the texts. Rows of kind DOCUMENT: a its set (null if empty), b its key, na its set's size. Rows of
+    kind EDGE: for each group of sets that share a block (key), edges from one of them (a) to the others (b).
 
-    Edges inside a task are made there, and only one set of each group travels, so a group of many copies sends a
-    row from each task at most.
+    Edges inside a task are made there, and only one set of each group travels by the block's key, so a group of
+    many copies sends a row from each task at most.
     """
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _texts(batches, 8192, 1 << 25):
-            sizes, keys, owners = {}, [], []
+            sizes, keys, owners, ids = {}, [], [], []
             for _, text in rows:
-                s = shingle_set(text)
-                if len(s) < 9:
-                    continue
-                own = set_id(s)
-                if own not in sizes:
-                    sizes[own] = len(s)
-                    k = block_keys(s)
+                s = shingle_set(text, bound.width)
+                own = set_id(s) if len(s) else None
+                ids.append((own, len(s)))
+                if len(s) and own not in sizes:
+                    k = bound.keys(s)
                     keys.append(k)
                     owners.append(np.full(len(k), own))
+                if own is not None:
+                    sizes[own] = len(s)
+            n = len(rows)
+            none = pa.nulls(n, pa.int64())
+            yield _batch(pa.array(np.arange(n), pa.int64()), DOCUMENT, none, pa.array([o for o, _ in ids], pa.int64()), pa.array([i for i, _ in rows], pa.int64()), pa.array([x for _, x in ids], pa.int64()), none)
             if keys:
                 yield from _stars(np.concatenate(keys), np.concatenate(owners), sizes, True)
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, owners, ns = [], [], []
         for b in batches:
-            inner = b.column("b").is_valid().to_numpy(zero_copy_only=False)
-            if inner.any():
-                yield pa.RecordBatch.from_arrays([c.filter(pa.array(inner)) for c in b.columns[1:]], names=names)
-            rest = pa.array(~inner)
-            keys.append(b.column("key").filter(rest).to_numpy())
-            owners.append(b.column("a").filter(rest).to_numpy())
-            ns.append(b.column("na").filter(rest).to_numpy())
+            group = pa.array(b.column("kind").to_numpy() == GROUP)
+            if group.true_count < b.num_rows:
+                other = pa.array(~group.to_numpy(zero_copy_only=False))
+                yield pa.RecordBatch.from_arrays([c.filter(other) for c in b.columns[1:]], names=_NAMES)
+            keys.append(b.column("key").filter(group).to_numpy())
+            owners.append(b.column("a").filter(group).to_numpy())
+            ns.append(b.column("na").filter(group).to_numpy())
         if keys:
             a, n = np.concatenate(owners), np.concatenate(ns)
-            yield from _stars(np.concatenate(keys), a, dict(zip(a.tolist(), n.tolist())), False)
+            order = np.lexsort((a, np.concatenate(keys)))
+            yield from _stars_with(np.concatenate(keys)[order], a[order], n[order])
 
-    names = ["key", "a", "b", "na", "nb"]
-    kinds = "key long, a long, b long, na long, nb long"
-    rows = df.select(F.lit(None).cast("long"), F.col(text_col)).mapInArrow(local, "route long, " + kinds)
-    return rows.repartition("route").mapInArrow(joined, kinds)
+    rows = df.select(F.col(key).cast("long"), F.col(text_col)).mapInArrow(local, "route long, " + KINDS)
+    return rows.repartition("route").mapInArrow(joined, KINDS)
 
 
-def _stars(keys: np.ndarray, owners: np.ndarray, sizes: dict[int, int], routed: bool) -> Iterator[pa.RecordBatch]:
-    """Edges from the smallest set of each group to its others; routed: also a row for the group itself, by its key."""
-    order = np.lexsort((owners, keys))
-    keys, owners = keys[order], owners[order]
+def _batch(route: pa.Array | None, kind: int, *columns: pa.Array) -> pa.RecordBatch:
+    arrays = [pa.array(np.full(len(columns[0]), kind, np.int8)), *columns]
+    return pa.RecordBatch.from_arrays(arrays, names=_NAMES) if route is None else pa.RecordBatch.from_arrays([route, *arrays], names=["route", *_NAMES])
+
+
+def _stars_with(keys: np.ndarray, owners: np.ndarray, ns: np.ndarray, routed: bool = False) -> Iterator[pa.RecordBatch]:
+    """Edges from the smallest set of each group to its others, of rows sorted by key and set; routed: also a row for
+    each group, on its way by its key."""
     keep = np.ones(len(keys), bool)
     keep[1:] = (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])
-    keys, owners = keys[keep], owners[keep]
+    keys, owners, ns = keys[keep], owners[keep], ns[keep]
     first = np.ones(len(keys), bool)
     first[1:] = keys[1:] != keys[:-1]
-    centers = owners[np.maximum.accumulate(np.where(first, np.arange(len(keys)), 0))]
-    size = lambda x: pa.array([sizes[i] for i in x.tolist()], pa.int64())
-    k, a, b = keys[~first], centers[~first], owners[~first]
-    edges = [pa.array(k, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), size(a), size(b)]
-    names = ["key", "a", "b", "na", "nb"]
-    if not routed:
-        if len(k):
-            yield pa.RecordBatch.from_arrays(edges, names=names)
-        return
-    if len(k):
-        yield pa.RecordBatch.from_arrays([edges[2], *edges], names=["route", *names])
-    k, a = keys[first], owners[first]
-    none = pa.nulls(len(k), pa.int64())
-    yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(k, pa.int64()), pa.array(a, pa.int64()), none, size(a), none], names=["route", *names])
+    center = np.maximum.accumulate(np.where(first, np.arange(len(keys)), 0))[~first]
+    number = lambda x: pa.array(x, pa.int64())
+    if len(center):
+        b = number(owners[~first])
+        yield _batch(b if routed else None, EDGE, number(keys[~first]), number(owners[center]), b, number(ns[center]), number(ns[~first]))
+    if routed:
+        k = number(keys[first])
+        none = pa.nulls(len(k), pa.int64())
+        yield _batch(k, GROUP, k, number(owners[first]), none, number(ns[first]), none)
 
 
-def may_link(na: str, nb: str) -> F.Column:
-    """Whether the sizes allow the overlap."""
-    return F.least(na, nb) * 100 >= F.greatest(na, nb) * SHARE
-
-
-def linked(overlap: np.ndarray, na: int, nb: np.ndarray) -> np.ndarray:
-    return 100 * overlap >= SHARE * (na + nb - overlap)
+def _stars(keys: np.ndarray, owners: np.ndarray, sizes: dict[int, int], routed: bool) -> Iterator[pa.RecordBatch]:
+    if not len(keys):
+        return
+    order = np.lexsort((owners, keys))
+    owners = owners[order]
+    change = np.flatnonzero(np.append(True, owners[1:] != owners[:-1]))
+    runs = np.diff(np.append(change, len(owners)))
+    yield from _stars_with(keys[order], owners, np.repeat([sizes[i] for i in owners[change].tolist()], runs), routed)
 
 
 def _bitmap(ids: DataFrame) -> np.ndarray:
@@ -232,35 +265,34 @@ def _bitmap(ids: DataFrame) -> np.ndarray:
     return out
 
 
-def products(pairs: DataFrame, sets: DataFrame, df: DataFrame, key: str, text_col: str) -> DataFrame:
-    """The pairs (a, b) that link. sets: id, n, set of all rows; the texts are read again for the sets in the pairs only.
-
-    A set with many pairs is copied so that each task multiplies a bounded number of rows with it.
-    """
-    pairs = cut(pairs)
-    wanted = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
+def set_rows(wanted: DataFrame, sets: DataFrame, df: DataFrame, key: str, text_col: str, bound: Bound) -> DataFrame:
+    """set, row: the hashes of each wanted set, from the texts read again; only those that the bitmap lets through are parsed."""
     reps = cut(sets.where("set is not null and id is not null").groupBy("set").agg(F.min("id").alias("id")).join(wanted, "set"))
     bitmap = df.sparkSession.sparkContext.broadcast(_bitmap(reps))
 
-    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _texts(batches, 512, 1 << 24):
-            found = [shingle_set(t) for _, t in rows]
-            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), pa.array([set_id(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["id", "set", "row"])
-
     def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bitmap.value
         for b in batches:
             h = b.column(2).to_numpy()
             hit = (bits[h & (BITMAP_WORDS - 1)] >> ((h.view(np.uint64) >> np.uint64(58)).astype(np.int64))) & 1
             taken = b.filter(pa.array(hit.astype(bool)))
-            if taken.num_rows:
-                yield from rows_of(iter([taken]))
+            for rows in _texts(iter([taken]), 512, 1 << 24):
+                found = [shingle_set(t, bound.width) for _, t in rows]
+                yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), pa.array([set_id(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["id", "set", "row"])
 
     source = df.select(F.col(key).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(key).cast("long")).alias("h")).where("id is not null")
-    rows = source.mapInArrow(needed, "id long, set long, row binary").join(reps, ["id", "set"]).dropDuplicates(["set"]).select("set", "row")
+    return source.mapInArrow(needed, "id long, set long, row binary").join(reps, ["id", "set"]).dropDuplicates(["set"]).select("set", "row")
+
+
+def products(pairs: DataFrame, rows: DataFrame, bound: Bound) -> DataFrame:
+    """The pairs (a, b) that link: all rows b of an a are multiplied with it, in blocks.
+
+    A set with many pairs is copied so that each task multiplies a bounded number of rows with it.
+    """
     per_task = 256
-    centers = pairs.groupBy("a").agg(F.count("*").alias("m")).select("a", F.explode(F.sequence(F.lit(0), F.floor(F.col("m") / per_task).cast("int"))).alias("salt"))
-    counts = pairs.groupBy("a").agg((F.floor(F.count("*") / per_task) + 1).cast("int").alias("salts"))
+    pairs = cut(pairs)
+    counts = cut(pairs.groupBy("a").agg((F.floor(F.count("*") / per_task) + 1).cast("int").alias("salts")))
+    centers = counts.select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     members = pairs.join(counts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.col("b").alias("set"))
     sides = members.select("a", "salt", "set", F.lit(1).alias("side")).unionByName(centers.select("a", "salt", F.col("a").alias("set"), F.lit(0).alias("side")))
     sides = sides.join(rows, "set").repartition("a", "salt").sortWithinPartitions("a", "salt", "side")
@@ -275,7 +307,7 @@ def products(pairs: DataFrame, sets: DataFrame, df: DataFrame, key: str, text_co
                 at = np.searchsorted(own, entries)
                 hits = own[np.minimum(at, len(own) - 1)] == entries
                 overlap = np.add.reduceat(hits, np.cumsum([0, *lengths[:-1]]), dtype=np.int64)
-                good = [b for (b, _), ok in zip(block, linked(overlap, len(own), lengths)) if ok]
+                good = [b for (b, _), ok in zip(block, bound.holds(overlap, len(own), lengths)) if ok]
                 if good:
                     yield pa.RecordBatch.from_arrays([pa.array([center] * len(good), pa.int64()), pa.array(good, pa.int64())], names=["a", "b"])
                 block.clear()
@@ -295,6 +327,64 @@ def products(pairs: DataFrame, sets: DataFrame, df: DataFrame, key: str, text_co
     return sides.select("a", "set", "side", "row").mapInArrow(multiply, "a long, b long")
 
 
+def class_products(members: DataFrame, rows: DataFrame, bound: Bound) -> DataFrame:
+    """Links between classes (their roots, a and b) that are left in groups with several classes.
+
+    members: key, set, n, root of such groups. Groups that share sets form a cluster. In each cluster the rows
+    outside its largest class are multiplied with all its rows, block by block; a task holds one block of each side,
+    and gives back pairs of classes, not of rows.
+    """
+    edges = members.groupBy("key").agg(F.min("set").alias("a")).join(members.select("key", F.col("set").alias("b")), "key").select("a", "b")
+    clusters = cut(components(edges))
+    nodes = cut(members.select("set", "root").distinct().join(clusters.select(F.col("node").alias("set"), F.col("root").alias("cluster")), "set"))
+    sizes = nodes.groupBy("cluster", "root").agg(F.count("*").alias("m"))
+    sizes = sizes.groupBy("cluster").agg(F.max_by("root", F.struct("m", "root")).alias("most"), F.sum("m").alias("all"), F.max("m").alias("largest"))
+    nodes = nodes.join(sizes, "cluster").withColumns({"us": F.ceil((F.col("all") - F.col("largest")) / 512).cast("int"), "rs": F.ceil(F.col("all") / 2048).cast("int")}).where("us > 0")
+    u = F.pmod(F.xxhash64("set"), F.col("us")).cast("int")
+    r = F.pmod(F.xxhash64("set", F.lit(1)), F.col("rs")).cast("int")
+    left = nodes.where("root <> most").select("cluster", u.alias("u"), F.explode(F.sequence(F.lit(0), F.col("rs") - 1)).alias("r"), "set", "root", F.lit(0).alias("side"))
+    right = nodes.select("cluster", F.explode(F.sequence(F.lit(0), F.col("us") - 1)).alias("u"), r.alias("r"), "set", "root", F.lit(1).alias("side"))
+    both = left.unionByName(right).join(rows, "set").repartition("cluster", "u", "r").sortWithinPartitions("cluster", "u", "r", "side")
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, own, index, step = None, [], None, []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal index
+            if own and step:
+                if index is None:  # the block's columns: its entries in order, and the row of each
+                    n = np.array([len(e) for _, e in own])
+                    entries = np.concatenate([e for _, e in own])
+                    order = np.argsort(entries, kind="stable")
+                    index = entries[order], np.repeat(np.arange(len(own)), n)[order], n, np.array([c for c, _ in own])
+                columns, owner, n, classes = index
+                m = np.array([len(e) for _, e in step])
+                entries = np.concatenate([e for _, e in step])
+                low, high = np.searchsorted(columns, entries), np.searchsorted(columns, entries, "right")
+                times_ = high - low
+                row = np.repeat(np.repeat(np.arange(len(step)), m), times_)
+                at = np.repeat(low - np.cumsum(times_) + times_, times_) + np.arange(times_.sum())
+                overlap = np.bincount(row * len(own) + owner[at], minlength=len(step) * len(own)).reshape(len(step), len(own))
+                mine = np.array([c for c, _ in step])
+                i, j = np.nonzero(bound.holds(overlap, m[:, None], n[None]) & (mine[:, None] != classes[None]))
+                if len(i):
+                    found = np.unique(np.stack([mine[i], classes[j]], 1), axis=0)
+                    yield pa.RecordBatch.from_arrays([pa.array(found[:, 0], pa.int64()), pa.array(found[:, 1], pa.int64())], names=["a", "b"])
+            step.clear()
+
+        for batch in batches:
+            for c, x, y, root, side, entries in zip(*(batch.column(k).to_pylist() for k in range(6))):
+                if (c, x, y) != task:
+                    yield from flush()
+                    task, own, index = (c, x, y), [], None
+                (step if side else own).append((root, np.frombuffer(entries, np.uint64)))
+                if len(step) >= 32:
+                    yield from flush()
+        yield from flush()
+
+    return both.select("cluster", "u", "r", "root", "side", "row").mapInArrow(multiply, "a long, b long").distinct()
+
+
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """node, root: the smallest node that each node of the links reaches, by large and small stars in turn."""
     edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
@@ -315,29 +405,62 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def jaccard_join(df: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _with_roots(members: DataFrame, roots: DataFrame) -> DataFrame:
+    return members.select("key", "set", "n").join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
+
+
+def _still_open(members: DataFrame) -> DataFrame:
+    """The members of groups that hold several classes; of groups of two sets the one pair is settled."""
+    keys = members.groupBy("key").agg(F.count("*").alias("m"), F.min("root").alias("low"), F.max("root").alias("high")).where("m > 2 and low <> high").select("key")
+    return cut(members.join(keys, "key"))
+
+
+def frequent_shingles(df: DataFrame, text_col: str, width: int, documents: int = 20_000, least: int = 4, most: int = 200_000) -> np.ndarray:
+    """Sorted hashes of the shingles that are in `least` or more of a sample of about `documents` texts; the `most`
+    commonest. Their order alone depends on them, no result does."""
+    n = df.count()
+    share = min(1.0, documents / max(n, 1))
+    sample = df.select(F.lit(None).cast("long"), text_col).where(unit_hash(text_col, seed=9) < F.lit(share))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _texts(batches, 1024, 1 << 24):
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([shingle_set(t, width) for _, t in rows]).view(np.int64))], names=["h"])
+
+    counted = sample.mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("m")).where(F.col("m") >= least).orderBy(F.desc("m"), "h").limit(most)
+    return np.sort(np.array([r["h"] for r in counted.collect()], np.int64).view(np.uint64))
+
+
+def jaccard_join(df: DataFrame, key: str = "doc_id", text_col: str = "text", bound: Bound = Bound(), rounds: int = 3) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest key reachable by links) and n_copies (rows with the same set).
 
     Rows with a null key are returned with their own size and no component. A null text has no words; sets without
     elements link to nothing. Rows with the same key are one document's parts: they share its component only if
-    their texts link. An empty table gives no rows.
+    their texts link. An empty table gives no rows. rounds: how often open groups are multiplied with one more of
+    their sets before all pairs across their classes are; it changes the cost, not the result.
     """
-    sets = cut(with_sets(df, key, text_col))
-    groups = cut(block_groups(df, text_col))
-    first = groups.where(may_link("na", "nb")).select("a", "b").distinct()
-    links = cut(products(first, sets, df, key, text_col))
-    roots = cut(components(links))
-    # Groups that still hold two classes or more: those of two sets are settled, the others have pairs left.
+    if bound.columns == "prefix":
+        bound = replace(bound, frequent=frequent_shingles(df, text_col, bound.width))
+    found = cut(incidence(df, key, text_col, bound))
+    sets = found.where(F.col("kind") == DOCUMENT).select(F.col("b").alias("id"), F.col("na").alias("n"), F.col("a").alias("set"))
+    groups = found.where(F.col("kind") == EDGE).drop("kind")
     members = groups.select("key", F.col("a").alias("set"), F.col("na").alias("n")).unionByName(groups.select("key", F.col("b").alias("set"), F.col("nb").alias("n"))).distinct()
-    members = members.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
-    open_keys = members.groupBy("key").agg(F.count("*").alias("m"), F.min("root").alias("low"), F.max("root").alias("high")).where("m > 2 and low <> high").select("key")
-    left = cut(members.join(open_keys, "key"))
-    if not left.isEmpty():
-        x, y = (left.select("key", *[F.col(c).alias(f"{c}{s}") for c in ("set", "n", "root")]) for s in "ab")
-        pairs = x.join(y, "key").where((F.col("seta") < F.col("setb")) & (F.col("roota") != F.col("rootb")) & may_link("na", "nb"))
-        pairs = pairs.select(F.col("seta").alias("a"), F.col("setb").alias("b")).distinct().join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-        more = cut(products(pairs, sets, df, key, text_col))
-        roots = cut(components(links.unionByName(more)))
+    wanted = groups.select(F.col("a").alias("set")).distinct().unionByName(groups.select(F.col("b").alias("set")).distinct()).distinct()
+    rows = cut(set_rows(wanted, sets, df, key, text_col, bound))
+    links = cut(products(groups.where(bound.sizes_allow("na", "nb")).select("a", "b").distinct(), rows, bound))
+    roots = cut(components(links))
+    members = _still_open(_with_roots(members, roots))
+    for r in range(rounds):
+        if members.isEmpty():
+            break
+        order = F.struct(F.xxhash64("set", F.lit(r)).alias("h"), "set", "n", "root")
+        centers = members.groupBy("key").agg(F.min(order).alias("c")).select("key", F.col("c.set").alias("a"), F.col("c.n").alias("na"), F.col("c.root").alias("ra"))
+        pairs = members.join(centers, "key").where((F.col("ra") != F.col("root")) & bound.sizes_allow("na", "n")).select("a", F.col("set").alias("b")).distinct()
+        links = cut(links.unionByName(products(pairs, rows, bound)))
+        roots = cut(components(links))
+        members = _still_open(_with_roots(members, roots))
+    if not members.isEmpty():
+        links = cut(links.unionByName(class_products(members, rows, bound)))
+        roots = cut(components(links))
     lowest = sets.where("set is not null and id is not null").groupBy("set").agg(F.min("id").alias("low"), F.count("*").alias("n_copies"))
     lowest = cut(lowest.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set")))
     whole = lowest.groupBy("root").agg(F.min("low").alias("component_id"))
