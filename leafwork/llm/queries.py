@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafwork.llm import common, fingerprints, jaccard, language, line_rules, mixing, pieces, quality, secrets, sharding, toxicity
+from leafwork.llm import common, fingerprints, jaccard, language, line_rules, mixing, oracles, pieces, quality, secrets, sharding, toxicity
 
 
 def tokenizer_path() -> str:
@@ -76,4 +76,4 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_pieces, op2_toxicity, op3_line_rules, op4_mixing, op5_fingerprints, op6_language, op7_secrets, op8_sharding, op9_jaccard, op10_quality)}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op3_line_rules": oracles.LINE_RULES, "op9_jaccard": oracles.JACCARD}
