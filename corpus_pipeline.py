@@ -64,11 +64,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to documents; each stage's result is written to the shared folder and read again."""
+    """Applies the stages to documents; each stage's result is written to the shared folder and read again.
+
+    A result is deleted when the next one is written; the last one stays, as the returned rows are read from it.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="leafwork-")
-    docs = common.table(spark, sf_dir, "documents")
+    docs, before = common.table(spark, sf_dir, "documents"), None
     for k, (_, stage) in enumerate(STAGES):
         path = f"{folder}/pipeline-{uuid.uuid4().hex}-{k}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            common.delete(spark, before)
+        before = path
     return docs
