@@ -32,7 +32,7 @@ def main(args: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("leafwork").getOrCreate()
     if a.command == "convert":
         config = Config.load(a.config, output_dir=a.output_dir, start_from=a.start_from, file_list=a.file_list)
-        result = plans.convert(spark, config, adapters.TextPdf, adapters.TextRecogniser)
+        result = plans.convert(spark, config, adapters.TextPdf, adapters.TextRecogniser, figures=adapters.TextRecogniser)
     elif a.command == "backfill":
         base, name = (a.report_dir.rstrip("/").rsplit("/", 1) if a.report_dir else (a.dir, None))
         result = plans.backfill(spark, base, a.subfolders and not name, a.dry_run)

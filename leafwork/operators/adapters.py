@@ -37,6 +37,11 @@ class OcrLayoutAdapter(Protocol):
         """Rows of kind item, cell or page (a registered page, maybe without cells), pages counted from 1."""
 
 
+class FigureAdapter(Protocol):
+    def figures(self, doc: str, content: bytes, scale: float) -> Iterator[dict]:
+        """Rows pic_no (all pictures count), page_no (from 1, or null), bbox, image (null: none), predictions (class, confidence)."""
+
+
 class CaptionAdapter(Protocol):
     def caption(self, image: bytes, prompt: str | None, timeout: float) -> str | None: ...
 
@@ -58,16 +63,28 @@ class TextPdf:
 
 
 class TextRecogniser:
-    """A stand-in for recognition: lines with # are headings, ~ starts a raw cell, others are items."""
+    """A stand-in for recognition: lines with # are headings, ~ starts a raw cell, ! a picture, others are items.
+
+    A page row has the page's width and height as r and b.
+    """
+
+    def figures(self, doc: str, content: bytes, scale: float) -> Iterator[dict]:
+        n = 0
+        for p, page in enumerate(content.decode("utf-8", "ignore").split("\f"), 1):
+            for i, line in enumerate(page.split("\n")):
+                if line.startswith("!"):
+                    kind, _, text = line[1:].partition(" ")
+                    yield {"pic_no": n, "page_no": p, "bbox": [10.0, 15.0 * i, 100.0, 15.0 * i + 12], "image": text.encode() if text else None, "predictions": [(kind, 0.8), ("other", 0.2)] if kind else []}
+                    n += 1
 
     def recognise(self, doc: str, content: bytes) -> Iterator[dict]:
         n = 0
         for p, page in enumerate(content.decode("utf-8", "ignore").split("\f"), 1):
-            yield {"kind": "page", "page_no": p}
+            yield {"kind": "page", "page_no": p, "l": 0.0, "t": 0.0, "r": 612.0, "b": 792.0}
             for i, line in enumerate(page.split("\n")):
                 if line.startswith("~"):
                     yield {"kind": "cell", "page_no": p, "rect_no": 0, "idx": i, "text": line[1:], "confidence": 0.9, "l": 10.0, "t": 15.0 * i, "r": 100.0, "b": 15.0 * i + 12}
-                elif line:
+                elif line and not line.startswith("!"):
                     marks = len(line) - len(line.lstrip("#"))
                     label = {0: "text", 1: "title"}.get(marks, "section_header")
                     yield {"kind": "item", "page_no": p, "item_no": n, "label": label, "level": max(1, marks - 1) if marks > 1 else None, "text": line.lstrip("# ") if marks else line, "l": 10.0, "t": 15.0 * i, "r": 100.0, "b": 15.0 * i + 12, "origin": "TOPLEFT"}
@@ -124,6 +141,40 @@ def recognise(chunks: DataFrame, factory: Callable[[], OcrLayoutAdapter], do_ocr
     return chunks.select("doc", "chunk_start", "content").mapInPandas(run, RECOGNISED)
 
 
+def extract_figures(chunks: DataFrame, factory: Callable[[], FigureAdapter], scale: float) -> DataFrame:
+    """doc, chunk_start, pic_no, page_no, bbox, image, predictions of (doc, chunk_start, content); a failing chunk gives none."""
+    columns = ["doc", "chunk_start", "pic_no", "page_no", "bbox", "image", "predictions"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        engine = factory()
+        for b in batches:
+            for doc, start, content in zip(b["doc"], b["chunk_start"], b["content"]):
+                try:
+                    rows = [[doc, int(start), r["pic_no"], r["page_no"], r["bbox"], r["image"], [{"class_name": c, "confidence": float(x)} for c, x in r["predictions"]]] for r in engine.figures(doc, bytes(content), scale)]
+                except Exception:
+                    rows = []
+                yield frame(rows, columns)
+
+    return chunks.select("doc", "chunk_start", "content").mapInPandas(run, "doc string, chunk_start int, pic_no int, page_no int, bbox array<double>, image binary, predictions array<struct<class_name:string,confidence:double>>")
+
+
+def overlaid(docs: DataFrame, factory: Callable[[], PdfAdapter]) -> DataFrame:
+    """doc, data: the PDF bytes of (doc, content, commands) with invisible text put on; the file as it was if that fails."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pdf = factory()
+        for b in batches:
+            rows = []
+            for doc, content, commands in zip(b["doc"], b["content"], b["commands"]):
+                try:
+                    rows.append((doc, pdf.overlay(bytes(content), [dict(c) for c in (commands if commands is not None else [])])))
+                except Exception:
+                    rows.append((doc, bytes(content)))
+            yield frame(rows, ["doc", "data"])
+
+    return docs.select("doc", "content", "commands").mapInPandas(run, "doc string, data binary")
+
+
 def captions(figures: DataFrame, factory: Callable[[], CaptionAdapter], prompt: str | None, timeout: float) -> DataFrame:
     """doc, pic_no, caption of (doc, pic_no, image); null where the call fails. Results should be written, not recomputed."""
 

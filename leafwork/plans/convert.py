@@ -6,11 +6,11 @@ import hashlib
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leafwork.functions import text as T
-from leafwork.operators import adapters, chunks, headings, pages
+from leafwork.operators import adapters, chunks, geometry, headings, pages
 from leafwork.sources import corpus, sinks
 
 
@@ -33,9 +33,48 @@ def work_set(spark: SparkSession, config: corpus.Config) -> tuple[DataFrame, Dat
     return docs, missing
 
 
-def convert(spark: SparkSession, config: corpus.Config, pdf: Callable[[], adapters.PdfAdapter], ocr: Callable[[], adapters.OcrLayoutAdapter], cache_dir: str | None = None) -> DataFrame:
+def searchable(items: DataFrame, registered: DataFrame, content: DataFrame, counts: DataFrame, pdf: Callable[[], adapters.PdfAdapter]) -> DataFrame:
+    """doc, name, data of the PDF files with invisible text. Page heights come from the registered pages."""
+    heights = registered.groupBy("doc", "page_no").agg(F.max("b").alias("height"))
+    placed = items.join(heights, ["doc", "page_no"]).join(counts.select("doc", "n_pages"), "doc")
+    commands = geometry.overlay_commands(placed, F.col("height"), F.col("n_pages"))
+    by_doc = commands.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("item_no", "page_index", "x", "y", "fontsize", "text"))).alias("commands"))
+    by_doc = by_doc.withColumn("commands", F.transform("commands", lambda c: F.struct(*[c[k].alias(k) for k in ("page_index", "x", "y", "fontsize", "text")])))
+    files = adapters.overlaid(content.join(counts.where("n_pages is not null").select("doc"), "doc").join(by_doc, "doc", "left"), pdf)
+    return files.select("doc", F.concat("doc", F.lit("_ocr.pdf")).alias("name"), "data")
+
+
+def figure_files(parts: DataFrame, stages: dict, figures: Callable[[], adapters.FigureAdapter], captioner: Callable[[], adapters.CaptionAdapter] | None) -> tuple[DataFrame, DataFrame]:
+    """(image files, manifests). Pictures are numbered over all chunks of a document, pages counted in the document."""
+    df = adapters.extract_figures(parts, figures, stages["figures_scale"])
+    n = F.row_number().over(Window.partitionBy("doc").orderBy("chunk_start", "pic_no")) - 1
+    df = df.withColumns({"pic_no": n, "page": F.col("page_no") + F.col("chunk_start") - 1, "has_image": F.col("image").isNotNull()})
+    best = F.array_sort(F.transform("predictions", lambda p: F.struct((-p["confidence"]).alias("c"), p["class_name"].alias("n"))))
+    df = df.withColumn("class_name", F.try_element_at(best, F.lit(1))["n"] if stages["classify_figures"] else F.lit(None).cast("string"))
+    named = geometry.named_figures(df)
+    captioned = bool(stages["picture_description_model"]) and captioner is not None
+    if captioned:
+        said = adapters.captions(named, captioner, stages["picture_description_prompt"], stages["picture_description_timeout"])
+        named = named.join(said, ["doc", "pic_no"], "left")
+    else:
+        named = named.withColumn("caption", F.lit(None).cast("string"))
+    images = named.select("doc", F.concat(F.lit("figures/"), "file").alias("name"), F.col("image").alias("data"))
+    return images, geometry.figure_manifest(named, parts.select("doc").distinct(), captioned)
+
+
+def convert(
+    spark: SparkSession,
+    config: corpus.Config,
+    pdf: Callable[[], adapters.PdfAdapter],
+    ocr: Callable[[], adapters.OcrLayoutAdapter],
+    cache_dir: str | None = None,
+    figures: Callable[[], adapters.FigureAdapter] | None = None,
+    captioner: Callable[[], adapters.CaptionAdapter] | None = None,
+) -> DataFrame:
     """Runs the conversion and returns doc, status, n_pages. Colliding and failing documents get a status, no output.
 
+    PDF files with text and figures are written first, each folder's page file last.
+
     With cache_dir the recognised rows of each chunk are kept there by document, range and options, and read again.
     """
     docs, _ = work_set(spark, config)
@@ -74,12 +113,20 @@ def convert(spark: SparkSession, config: corpus.Config, pdf: Callable[[], adapte
     rows = rows.withColumn("page_no", F.col("page_no") + F.col("chunk_start"))
     items = rows.where("kind = 'item'").withColumn("item_no", F.struct("chunk_start", "item_no"))
     cells = rows.where("kind = 'cell'").select("doc", "page_no", "rect_no", "idx", "text", "confidence", "l", "t", "r", "b")
-    registered = rows.where("kind = 'page'").select("doc", "page_no")
-    result = pages.page_results(items, cells, registered)
+    registered = rows.where("kind = 'page'").select("doc", "page_no", "b")
+    result = pages.page_results(items, cells, registered.select("doc", "page_no"))
     good = counts.where("n_pages is not null").select("doc")
     texts = pages.document_text(result, good)
     found = headings.heading_records(headings.headings_of_texts(texts), good)
     markdown = pages.item_lines(items).groupBy("doc").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("item_no", "line"))), lambda x: x["line"]), "\n\n").alias("md"))
+    stages = config.stages()
+    if stages["do_ocr"]:
+        sinks.write_files(searchable(items, registered, content.select("doc", "content"), counts, pdf), config.output_dir).count()
+    if stages["extract_figures"] and figures is not None:
+        every = whole if plan is None else whole.unionByName(plan.select("doc", "chunk_start", "chunk_end"))
+        images, manifests = figure_files(adapters.split_chunks(every.join(content.select("doc", "content"), "doc"), pdf), stages, figures, captioner)
+        sinks.write_files(images, config.output_dir).count()
+        sinks.write_manifests(manifests, config.output_dir).count()
     written = sinks.write_folders(sinks.document_records(result, texts, found, markdown), config.output_dir, config.docling.get("markdown_dir"))
     failed = counts.where("n_pages is null").select("doc", F.col("error").alias("status"), F.lit(0).alias("n_pages"))
     return written.unionByName(failed).unionByName(bad)

@@ -70,6 +70,23 @@ def write_folders(records: DataFrame, output_dir: str, markdown_dir: str | None
     return records.select("doc", "pages", "text", "headings", "md").mapInPandas(run, "doc string, status string, n_pages int")
 
 
+def write_files(files: DataFrame, output_dir: str) -> DataFrame:
+    """Writes data to output_dir/<doc>/<name> for each (doc, name, data); returns doc, name, status."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for doc, name, data in zip(b["doc"], b["name"], b["data"]):
+                try:
+                    _put(f"{output_dir}/{doc}/{name}", bytes(data))
+                    rows.append((doc, name, "written"))
+                except OSError as e:
+                    rows.append((doc, name, repr(e)))
+            yield pd.DataFrame(rows, columns=["doc", "name", "status"], dtype=object)
+
+    return files.select("doc", "name", "data").mapInPandas(run, "doc string, name string, status string")
+
+
 def write_manifests(manifests: DataFrame, output_dir: str) -> DataFrame:
     """figures/figures.json of each (doc, json); returns doc, status."""
 

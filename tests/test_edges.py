@@ -169,6 +169,30 @@ def test_convert_resume_and_chunks(spark, tmp_path):
     assert rows.where("doc = 'alpha'").count() == 3
 
 
+class Captioner:
+    def caption(self, image, prompt, timeout):
+        return f"{prompt}: {image.decode()}"
+
+
+def test_convert_figures_and_searchable_pdf(spark, tmp_path):
+    src = tmp_path / "pdfs"
+    src.mkdir()
+    (src / "a.pdf").write_text("one\n!chart picture\f!photo\f!map third")
+    (src / "b.pdf").write_text("no figure")
+    docling = {"extract_figures": True, "classify_figures": True, "picture_description_model": "m", "picture_description_prompt": "see"}
+    config = corpus.Config(pdf_input=str(src), output_dir=str(tmp_path / "o"), chunk_size=2, docling=docling)
+    convert.convert(spark, config, adapters.TextPdf, adapters.TextRecogniser, None, adapters.TextRecogniser, Captioner).collect()
+    got = json.loads((tmp_path / "o/a/figures/figures.json").read_text())
+    assert [(f["file"], f["page"], f["classification"], f["caption"]) for f in got["figures"]] == [("fig_p0_000.png", 0, "chart", "see: picture"), ("fig_p2_002.png", 2, "map", "see: third")]
+    assert (tmp_path / "o/a/figures/fig_p2_002.png").read_bytes() == b"third"
+    assert json.loads((tmp_path / "o/b/figures/figures.json").read_text()) == {"n_figures": 0, "figures": []}
+    assert (tmp_path / "o/a/a_ocr.pdf").read_bytes() == (src / "a.pdf").read_bytes()
+    config.docling = {"do_ocr": False}
+    config.output_dir = str(tmp_path / "plain")
+    convert.convert(spark, config, adapters.TextPdf, adapters.TextRecogniser).collect()
+    assert not (tmp_path / "plain/a/a_ocr.pdf").exists() and not (tmp_path / "plain/a/figures").exists()
+
+
 def test_backfill_extract_and_stream(spark, tmp_path):
     folder = tmp_path / "out/rep"
     folder.mkdir(parents=True)
