@@ -13,6 +13,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a folder on whatever file system it is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The rows of df, kept in the shared checkpoint folder so that a lost executor costs no recomputation.
 
@@ -25,6 +31,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cut_small(df: DataFrame, rows_per_part: int = 100_000) -> DataFrame:
+    """cut(df), then in as few partitions as its number of rows asks for: small tables make few files when shuffled."""
+    df = cut(df)
+    return df.coalesce(1 + df.count() // rows_per_part)
+
+
 def fold(doc_id: str | Column, folds: int) -> Column:
     """crc32 of the id's decimal text, modulo folds; a null id counts as the empty text."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafwork.llm.common import cut, unit_hash
+from leafwork.llm.common import cut, cut_small, unit_hash
 
 #: Odd multipliers of the hash functions: fixed values.
 A, B, C, M1, M2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53))
@@ -267,7 +267,7 @@ def _bitmap(ids: DataFrame) -> np.ndarray:
 
 def set_rows(wanted: DataFrame, sets: DataFrame, df: DataFrame, key: str, text_col: str, bound: Bound) -> DataFrame:
     """set, row: the hashes of each wanted set, from the texts read again; only those that the bitmap lets through are parsed."""
-    reps = cut(sets.where("set is not null and id is not null").groupBy("set").agg(F.min("id").alias("id")).join(wanted, "set"))
+    reps = cut_small(sets.where("set is not null and id is not null").groupBy("set").agg(F.min("id").alias("id")).join(wanted, "set"))
     bitmap = df.sparkSession.sparkContext.broadcast(_bitmap(reps))
 
     def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,8 +290,8 @@ def products(pairs: DataFrame, rows: DataFrame, bound: Bound) -> DataFrame:
     A set with many pairs is copied so that each task multiplies a bounded number of rows with it.
     """
     per_task = 256
-    pairs = cut(pairs)
-    counts = cut(pairs.groupBy("a").agg((F.floor(F.count("*") / per_task) + 1).cast("int").alias("salts")))
+    pairs = cut_small(pairs)
+    counts = cut_small(pairs.groupBy("a").agg((F.floor(F.count("*") / per_task) + 1).cast("int").alias("salts")))
     centers = counts.select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     members = pairs.join(counts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.col("b").alias("set"))
     sides = members.select("a", "salt", "set", F.lit(1).alias("side")).unionByName(centers.select("a", "salt", F.col("a").alias("set"), F.lit(0).alias("side")))
@@ -335,8 +335,8 @@ def class_products(members: DataFrame, rows: DataFrame, bound: Bound) -> DataFra
     and gives back pairs of classes, not of rows.
     """
     edges = members.groupBy("key").agg(F.min("set").alias("a")).join(members.select("key", F.col("set").alias("b")), "key").select("a", "b")
-    clusters = cut(components(edges))
-    nodes = cut(members.select("set", "root").distinct().join(clusters.select(F.col("node").alias("set"), F.col("root").alias("cluster")), "set"))
+    clusters = cut_small(components(edges))
+    nodes = cut_small(members.select("set", "root").distinct().join(clusters.select(F.col("node").alias("set"), F.col("root").alias("cluster")), "set"))
     sizes = nodes.groupBy("cluster", "root").agg(F.count("*").alias("m"))
     sizes = sizes.groupBy("cluster").agg(F.max_by("root", F.struct("m", "root")).alias("most"), F.sum("m").alias("all"), F.max("m").alias("largest"))
     nodes = nodes.join(sizes, "cluster").withColumns({"us": F.ceil((F.col("all") - F.col("largest")) / 512).cast("int"), "rs": F.ceil(F.col("all") / 2048).cast("int")}).where("us > 0")
@@ -385,23 +385,56 @@ def class_products(members: DataFrame, rows: DataFrame, bound: Bound) -> DataFra
     return both.select("cluster", "u", "r", "root", "side", "row").mapInArrow(multiply, "a long, b long").distinct()
 
 
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
-    """node, root: the smallest node that each node of the links reaches, by large and small stars in turn."""
-    edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
-    for _ in range(rounds):
+def _forest(edges: DataFrame) -> DataFrame:
+    """u, v: stars with the smallest node of each component that the edges of one partition make."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while (p := parent.setdefault(x, x)) != x:
+                parent[x] = parent[p]
+                x = p
+            return x
+
+        for b in batches:
+            for u, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                u, v = find(u), find(v)
+                if u != v:
+                    parent[max(u, v)] = min(u, v)
+        pairs = [(x, r) for x in list(parent) if (r := find(x)) != x]
+        if pairs:
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.int64()), pa.array([r for _, r in pairs], pa.int64())], names=["u", "v"])
+
+    return edges.select("u", "v").mapInArrow(run, "u long, v long")
+
+
+def components(links: DataFrame, rounds: int = 60, rows_per_part: int = 200_000) -> DataFrame:
+    """node, root: the smallest node that each node of the links reaches.
+
+    Each partition of at most about rows_per_part links makes a forest of stars. Where that is all of them, it is the
+    result; else large and small stars in turn bring the forests together until nothing changes.
+    """
+    links = links.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u <> v")
+    edges = cut_small(_forest(cut_small(links, rows_per_part)), rows_per_part)
+    alone = edges.count() < rows_per_part
+    if alone:
+        edges = cut(_forest(edges))
+    for _ in range(0 if alone else rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v")
-        new = cut(small.distinct())
+        new = cut_small(small.distinct(), rows_per_part)
         same = new.agg(F.count("*").alias("n"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0)).alias("x")).first()
-        was = edges.agg(F.count("*").alias("n"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0)).alias("x")).first()
+        was = edges.distinct().agg(F.count("*").alias("n"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0)).alias("x")).first()
         edges = new
         if same == was:
             break
     else:
-        raise RuntimeError("components did not settle")
+        if not alone:
+            raise RuntimeError("components did not settle")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
@@ -412,7 +445,7 @@ def _with_roots(members: DataFrame, roots: DataFrame) -> DataFrame:
 def _still_open(members: DataFrame) -> DataFrame:
     """The members of groups that hold several classes; of groups of two sets the one pair is settled."""
     keys = members.groupBy("key").agg(F.count("*").alias("m"), F.min("root").alias("low"), F.max("root").alias("high")).where("m > 2 and low <> high").select("key")
-    return cut(members.join(keys, "key"))
+    return cut_small(members.join(keys, "key"))
 
 
 def frequent_shingles(df: DataFrame, text_col: str, width: int, documents: int = 20_000, least: int = 4, most: int = 200_000) -> np.ndarray:
@@ -446,8 +479,8 @@ def jaccard_join(df: DataFrame, key: str = "doc_id", text_col: str = "text", bou
     members = groups.select("key", F.col("a").alias("set"), F.col("na").alias("n")).unionByName(groups.select("key", F.col("b").alias("set"), F.col("nb").alias("n"))).distinct()
     wanted = groups.select(F.col("a").alias("set")).distinct().unionByName(groups.select(F.col("b").alias("set")).distinct()).distinct()
     rows = cut(set_rows(wanted, sets, df, key, text_col, bound))
-    links = cut(products(groups.where(bound.sizes_allow("na", "nb")).select("a", "b").distinct(), rows, bound))
-    roots = cut(components(links))
+    links = cut_small(products(groups.where(bound.sizes_allow("na", "nb")).select("a", "b").distinct(), rows, bound))
+    roots = cut_small(components(links))
     members = _still_open(_with_roots(members, roots))
     for r in range(rounds):
         if members.isEmpty():
@@ -455,14 +488,14 @@ def jaccard_join(df: DataFrame, key: str = "doc_id", text_col: str = "text", bou
         order = F.struct(F.xxhash64("set", F.lit(r)).alias("h"), "set", "n", "root")
         centers = members.groupBy("key").agg(F.min(order).alias("c")).select("key", F.col("c.set").alias("a"), F.col("c.n").alias("na"), F.col("c.root").alias("ra"))
         pairs = members.join(centers, "key").where((F.col("ra") != F.col("root")) & bound.sizes_allow("na", "n")).select("a", F.col("set").alias("b")).distinct()
-        links = cut(links.unionByName(products(pairs, rows, bound)))
-        roots = cut(components(links))
+        links = cut_small(links.unionByName(products(pairs, rows, bound)))
+        roots = cut_small(components(links))
         members = _still_open(_with_roots(members, roots))
     if not members.isEmpty():
-        links = cut(links.unionByName(class_products(members, rows, bound)))
-        roots = cut(components(links))
+        links = cut_small(links.unionByName(class_products(members, rows, bound)))
+        roots = cut_small(components(links))
     lowest = sets.where("set is not null and id is not null").groupBy("set").agg(F.min("id").alias("low"), F.count("*").alias("n_copies"))
-    lowest = cut(lowest.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set")))
+    lowest = cut_small(lowest.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set")))
     whole = lowest.groupBy("root").agg(F.min("low").alias("component_id"))
     classes = lowest.join(whole, "root").select("set", "component_id", "n_copies")
     out = sets.join(classes, "set", "left")
