@@ -48,16 +48,18 @@ def unit_hash(*cols: str | Column, seed: int) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *cols), 11) / F.lit(float(1 << 53))
 
 
-def bounded_sample(df: DataFrame, by: str, most: int, seed: int, max_chars: int) -> DataFrame:
-    """About `most` rows of each value of `by` at most: every row where there are fewer, else those with a small hash.
+def bounded_sample(df: DataFrame, by: str, most: int | dict, seed: int, max_chars: int) -> tuple[DataFrame, dict]:
+    """About `most` rows of each value of `by` at most (or of those that a dict names): every row where there are
+    fewer, else those with a small hash. Also how many rows of each value there are.
 
     Rows whose text is null or longer than max_chars code points are not taken: what is collected has a bound
     of most * max_chars for each value. The choice depends on doc_id and the seed, not on the partitioning.
     """
     df = df.where(F.col("text").isNotNull() & (F.char_length("text") <= max_chars) & F.col(by).isNotNull())
     n = df.groupBy(by).agg(F.count("*").alias("_n"))
-    shares = {r[by]: min(1.0, most / r["_n"]) for r in n.collect()}
+    totals = {r[by]: r["_n"] for r in n.collect()}
+    shares = {v: min(1.0, (most.get(v, 0) if isinstance(most, dict) else most) / m) for v, m in totals.items()}
     keep = F.lit(False)
     for value, share in shares.items():
         keep = keep | ((F.col(by) == F.lit(value)) & (unit_hash("doc_id", seed=seed) < F.lit(share)))
-    return df.where(keep)
+    return df.where(keep), totals

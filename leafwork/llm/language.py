@@ -127,7 +127,8 @@ class LanguageFilters:
 
 def fit_language_filters(train: DataFrame, documents_per_language: int = 1500, max_chars: int = 20_000, seed: int = 6) -> LanguageFilters:
     """Fits the filters on a bounded sample of rows with text and lang; the commonest 64 languages at most."""
-    sample = bounded_sample(train, "lang", documents_per_language, seed, max_chars).select("lang", "text")
+    sample, _ = bounded_sample(train, "lang", documents_per_language, seed, max_chars)
+    sample = sample.select("lang", "text")
     texts: dict[str, list[str]] = {}
     for r in sample.orderBy("lang", F.xxhash64("text")).toLocalIterator():
         texts.setdefault(r["lang"], []).append(r["text"])

@@ -135,7 +135,8 @@ def fit(rows: list[tuple[str, int]], rounds: int = 8, seed: int = 10, rate: floa
 
 def fit_quality(train: DataFrame, documents_per_label: int = 700, max_chars: int = 12_000, seed: int = 10) -> QualityNetwork:
     """Trains on a bounded sample of rows with text and quality (documents_per_label of each label at most)."""
-    sample = bounded_sample(train, "quality", documents_per_label, seed, max_chars).select("text", "quality")
+    sample, _ = bounded_sample(train, "quality", documents_per_label, seed, max_chars)
+    sample = sample.select("text", "quality")
     rows = [(r["text"], int(r["quality"])) for r in sample.orderBy("quality", F.xxhash64("text")).toLocalIterator()]
     return fit(rows)
 

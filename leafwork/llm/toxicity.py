@@ -13,6 +13,7 @@ The model is fitted on a bounded sample of labelled rows; scoring reads whole te
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -120,8 +121,29 @@ class ToxicityModel:
         return float(1 / (1 + np.exp(-(self.slope * np.log1p(evidence) + self.offset))))
 
 
-def fit(rows: list[tuple[str, int]], prior: float = 200.0, least_z: float = 4.5, least_log_odds: float = 2.0) -> ToxicityModel:
-    """Fits token scores, extreme-value constants and the logistic curve on (text, toxic) rows."""
+def without_copies(rows: list[tuple[str, int]]) -> list[tuple[str, int]]:
+    """The first row of each group of near copies, told by either of two min-hashes of five-word shingles.
+
+    Copies of one text would make its words look frequent in its class.
+    """
+    seen: set[tuple[int, int]] = set()
+    out = []
+    for text, label in rows:
+        words = text.lower().split()
+        hashes = [zlib.crc32(" ".join(words[i : i + 5]).encode()) for i in range(max(1, len(words) - 4))]
+        marks = [(k, min((h * m + a) & 0xFFFFFFFF for h in hashes)) for k, (m, a) in enumerate(((1, 0), (2654435761, 97)))]
+        if seen.isdisjoint(marks):
+            out.append((text, label))
+        seen.update(marks)
+    return out
+
+
+def fit(rows: list[tuple[str, int]], totals: tuple[int, int] | None = None, prior: float = 200.0, least_z: float = 4.5, least_log_odds: float = 2.5) -> ToxicityModel:
+    """Fits token scores, extreme-value constants and the logistic curve on (text, toxic) rows.
+
+    totals: how many rows of each label the sample stands for; the logistic curve weighs them so.
+    """
+    rows = without_copies(rows)
     by_class: tuple[Counter, Counter] = Counter(), Counter()
     n = [0, 0]
     for text, toxic in rows:
@@ -168,11 +190,13 @@ def fit(rows: list[tuple[str, int]], prior: float = 200.0, least_z: float = 4.5,
     model.log_k = float(np.log((chance + 0.5) / (words + 1)))
     x = np.array([np.log1p(model.evidence(t)) for t, _ in rows])
     y = np.array([k for _, k in rows], float)
+    stands = [t / c for t, c in zip(totals or n, n)]
+    w = np.where(y == 1, stands[1], stands[0]) / np.mean(stands)
     slope, offset = 1.0, -2.0
     for _ in range(50):  # Newton, with a small ridge so that separable rows keep finite constants
         p = 1 / (1 + np.exp(-(slope * x + offset)))
-        g = np.array([((p - y) * x).sum() + 0.5 * slope, (p - y).sum() + 0.05 * offset])
-        r = p * (1 - p)
+        g = np.array([(w * (p - y) * x).sum() + 0.5 * slope, (w * (p - y)).sum() + 0.05 * offset])
+        r = w * p * (1 - p)
         h = np.array([[(r * x * x).sum() + 0.5, (r * x).sum()], [(r * x).sum(), r.sum() + 0.05]])
         step = np.linalg.solve(h, g)
         slope, offset = slope - np.clip(step[0], -2, 2), offset - np.clip(step[1], -2, 2)
@@ -181,10 +205,11 @@ def fit(rows: list[tuple[str, int]], prior: float = 200.0, least_z: float = 4.5,
     return model
 
 
-def fit_toxicity(train: DataFrame, documents_per_label: int = 2500, max_chars: int = 20_000, seed: int = 2) -> ToxicityModel:
-    """Fits the model on a bounded sample of rows with text and toxic (documents_per_label of each label at most)."""
-    sample = bounded_sample(train, "toxic", documents_per_label, seed, max_chars).select("text", "toxic")
-    return fit([(r["text"], int(r["toxic"])) for r in sample.orderBy("toxic", F.xxhash64("text")).toLocalIterator()])
+def fit_toxicity(train: DataFrame, documents: tuple[int, int] = (6000, 2000), max_chars: int = 20_000, seed: int = 2) -> ToxicityModel:
+    """Fits the model on a bounded sample of rows with text and toxic: `documents` of label 0 and 1 at most."""
+    sample, totals = bounded_sample(train, "toxic", dict(enumerate(documents)), seed, max_chars)
+    rows = [(r["text"], int(r["toxic"])) for r in sample.select("text", "toxic").orderBy("toxic", F.xxhash64("text")).toLocalIterator()]
+    return fit(rows, (totals.get(0, 0), totals.get(1, 0)))
 
 
 def score_toxicity(df: DataFrame, model: ToxicityModel, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
