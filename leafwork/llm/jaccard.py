@@ -11,9 +11,10 @@ one. A row without entries in a block takes part by a second dealing instead.
 
 Products. The overlap counts of rows accumulate over the columns, and pairs whose sizes alone forbid the overlap
 are dropped before. In a group that shares a block all rows are first multiplied with one of them, a few times with
-another one. Where all link, they are one class and no other pair matters. Where classes remain apart, the rows
-outside the largest class are multiplied with all rows of the group's cluster, block by block. So no link that
-could join two classes is lost, and large groups of copies cost a few products a row, not one a pair.
+another one. Where all link, they are one class and no other pair matters. Where classes remain apart, small groups
+list their pairs across classes, and those that share fewer keys than their sizes ask for are discarded; in large
+groups the rows outside the largest class are multiplied with all rows of the group's cluster, block by block. So
+no link that could join two classes is lost, and large groups of copies cost a few products a row, not one a pair.
 
 Sets are known by 64-bit hashes of their shingles' 64-bit hashes: two of n different sets get the same id with
 probability n * n / 2**65.
@@ -45,11 +46,15 @@ class Bound:
     columns says how rows are brought together: `blocks`, or `prefix` for shingles that few unrelated texts share.
     Of a set's shingles in one order for all, two sets that link share one among the first n - share * n + 1; shingles
     that are frequent in a sample come last in that order, which changes the cost but not the result.
+
+    small: in groups of up to so many rows the pairs across classes are listed, half as many a row at most; larger ones
+    are multiplied by blocks. It changes the cost, not the result.
     """
 
     width: int = 3
     share: int = 90
     columns: str = "blocks"
+    small: int = 0
     frequent: np.ndarray | None = None
 
     def size_classes(self, n: int) -> list[tuple[int, int]]:
@@ -83,6 +88,18 @@ class Bound:
         """Whether the sizes allow the overlap."""
         return F.least(na, nb) * 100 >= F.greatest(na, nb) * self.share
 
+    def least_shared(self, na: str, nb: str) -> Column:
+        """How many keys two sets of these sizes share at least if they link.
+
+        Of the prefix whose last shingle comes first in the order, only shingles that the other set lacks are not
+        shared, and by the sizes there are few of those.
+        """
+        if self.columns == "blocks":
+            return F.lit(1)
+        overlap = F.ceil(self.share * (F.col(na) + F.col(nb)) / (100 + self.share))
+        shared = [overlap - F.ceil(self.share * F.col(n) / 100) + 1 for n in (na, nb)]
+        return F.greatest(F.lit(1), F.least(*shared))
+
     def holds(self, overlap: np.ndarray, na: np.ndarray | int, nb: np.ndarray) -> np.ndarray:
         return 100 * overlap >= self.share * (na + nb - overlap)
 
@@ -281,7 +298,9 @@ def set_rows(wanted: DataFrame, sets: DataFrame, df: DataFrame, key: str, text_c
                 yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), pa.array([set_id(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["id", "set", "row"])
 
     source = df.select(F.col(key).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(key).cast("long")).alias("h")).where("id is not null")
-    return source.mapInArrow(needed, "id long, set long, row binary").join(reps, ["id", "set"]).dropDuplicates(["set"]).select("set", "row")
+    found = source.mapInArrow(needed, "id long, set long, row binary")
+    # Dealt once, by the set: neither the duplicates nor a join by the set move the rows again.
+    return found.join(reps.select("set", F.col("id").alias("rep")), "set").where("id = rep").dropDuplicates(["set"]).select("set", "row")
 
 
 def products(pairs: DataFrame, rows: DataFrame, bound: Bound) -> DataFrame:
@@ -290,7 +309,6 @@ def products(pairs: DataFrame, rows: DataFrame, bound: Bound) -> DataFrame:
     A set with many pairs is copied so that each task multiplies a bounded number of rows with it.
     """
     per_task = 256
-    pairs = cut_small(pairs)
     counts = cut_small(pairs.groupBy("a").agg((F.floor(F.count("*") / per_task) + 1).cast("int").alias("salts")))
     centers = counts.select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     members = pairs.join(counts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.col("b").alias("set"))
@@ -438,21 +456,36 @@ def components(links: DataFrame, rounds: int = 60, rows_per_part: int = 200_000)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+def group_pairs(members: DataFrame, settled: DataFrame, bound: Bound) -> DataFrame:
+    """The pairs across classes in small open groups that share as many keys as their sizes ask for.
+
+    members: key, set, n, root, m (rows of the group) of all open groups; settled: pairs multiplied before. Keys of
+    large groups are not counted here, so as many as a set has may be missing.
+    """
+    large = members.where(F.col("m") > bound.small).groupBy("set").agg(F.count("*").alias("more"))
+    small = members.where(F.col("m") <= bound.small)
+    x, y = (small.select("key", *[F.col(c).alias(f"{c}{side}") for c in ("set", "n", "root")]) for side in "ab")
+    pairs = x.join(y, "key").where((F.col("seta") < F.col("setb")) & (F.col("roota") != F.col("rootb")) & bound.sizes_allow("na", "nb"))
+    pairs = pairs.groupBy(F.col("seta").alias("a"), F.col("setb").alias("b"), "na", "nb").agg(F.count("*").alias("shared"))
+    pairs = pairs.join(large.select(F.col("set").alias("a"), F.col("more").alias("ma")), "a", "left").join(large.select(F.col("set").alias("b"), F.col("more").alias("mb")), "b", "left")
+    missing = F.least(F.coalesce("ma", F.lit(0)), F.coalesce("mb", F.lit(0)))
+    pairs = pairs.where(F.col("shared") + missing >= bound.least_shared("na", "nb")).select("a", "b")
+    return pairs.join(settled.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+
+
 def _with_roots(members: DataFrame, roots: DataFrame) -> DataFrame:
     return members.select("key", "set", "n").join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
 
 
 def _still_open(members: DataFrame) -> DataFrame:
     """The members of groups that hold several classes; of groups of two sets the one pair is settled."""
-    keys = members.groupBy("key").agg(F.count("*").alias("m"), F.min("root").alias("low"), F.max("root").alias("high")).where("m > 2 and low <> high").select("key")
+    keys = members.groupBy("key").agg(F.count("*").alias("m"), F.min("root").alias("low"), F.max("root").alias("high")).where("m > 2 and low <> high").select("key", "m")
     return cut_small(members.join(keys, "key"))
 
 
-def frequent_shingles(df: DataFrame, text_col: str, width: int, documents: int = 20_000, least: int = 4, most: int = 200_000) -> np.ndarray:
-    """Sorted hashes of the shingles that are in `least` or more of a sample of about `documents` texts; the `most`
+def frequent_shingles(df: DataFrame, text_col: str, width: int, share: float = 0.2, least: int = 4, most: int = 500_000) -> np.ndarray:
+    """Sorted hashes of the shingles that are in `least` or more texts of a sample, a share of all; the `most`
     commonest. Their order alone depends on them, no result does."""
-    n = df.count()
-    share = min(1.0, documents / max(n, 1))
     sample = df.select(F.lit(None).cast("long"), text_col).where(unit_hash(text_col, seed=9) < F.lit(share))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -477,17 +510,25 @@ def jaccard_join(df: DataFrame, key: str = "doc_id", text_col: str = "text", bou
     sets = found.where(F.col("kind") == DOCUMENT).select(F.col("b").alias("id"), F.col("na").alias("n"), F.col("a").alias("set"))
     groups = found.where(F.col("kind") == EDGE).drop("kind")
     members = groups.select("key", F.col("a").alias("set"), F.col("na").alias("n")).unionByName(groups.select("key", F.col("b").alias("set"), F.col("nb").alias("n"))).distinct()
-    wanted = groups.select(F.col("a").alias("set")).distinct().unionByName(groups.select(F.col("b").alias("set")).distinct()).distinct()
-    rows = cut(set_rows(wanted, sets, df, key, text_col, bound))
-    links = cut_small(products(groups.where(bound.sizes_allow("na", "nb")).select("a", "b").distinct(), rows, bound))
+    pairs = cut_small(groups.where(bound.sizes_allow("na", "nb")).select("a", "b").distinct())
+    wanted = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
+    links = cut_small(products(pairs, set_rows(wanted, sets, df, key, text_col, bound), bound))
     roots = cut_small(components(links))
     members = _still_open(_with_roots(members, roots))
+    more = cut_small(group_pairs(members, pairs, bound))
+    if not more.isEmpty():
+        wanted = more.select(F.col("a").alias("set")).unionByName(more.select(F.col("b").alias("set"))).distinct()
+        links = cut_small(links.unionByName(products(more, set_rows(wanted, sets, df, key, text_col, bound), bound)))
+        roots = cut_small(components(links))
+    members = _still_open(_with_roots(members.where(F.col("m") > bound.small), roots))
+    if not members.isEmpty():
+        rows = cut(set_rows(members.select("set").distinct(), sets, df, key, text_col, bound))
     for r in range(rounds):
         if members.isEmpty():
             break
         order = F.struct(F.xxhash64("set", F.lit(r)).alias("h"), "set", "n", "root")
         centers = members.groupBy("key").agg(F.min(order).alias("c")).select("key", F.col("c.set").alias("a"), F.col("c.n").alias("na"), F.col("c.root").alias("ra"))
-        pairs = members.join(centers, "key").where((F.col("ra") != F.col("root")) & bound.sizes_allow("na", "n")).select("a", F.col("set").alias("b")).distinct()
+        pairs = cut_small(members.join(centers, "key").where((F.col("ra") != F.col("root")) & bound.sizes_allow("na", "n")).select("a", F.col("set").alias("b")).distinct())
         links = cut_small(links.unionByName(products(pairs, rows, bound)))
         roots = cut_small(components(links))
         members = _still_open(_with_roots(members, roots))

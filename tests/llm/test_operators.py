@@ -8,6 +8,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -370,8 +371,9 @@ def near_copies():
 
 
 @pytest.mark.parametrize("bound", [jaccard.Bound(), jaccard.Bound(5, 80, "prefix"), jaccard.Bound(3, 80, "prefix"), jaccard.Bound(3, 95)])
-@pytest.mark.parametrize("rounds", [0, 3])
-def test_jaccard_join_is_exact(spark, bound, rounds):
+@pytest.mark.parametrize("rounds, small", [(0, 0), (3, 4), (3, 64)])
+def test_jaccard_join_is_exact(spark, bound, rounds, small):
+    bound = replace(bound, small=small)
     rows = near_copies()
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = jaccard.jaccard_join(df, bound=bound, rounds=rounds).select("doc_id", "n_shingles", "component_id").collect()
@@ -389,7 +391,11 @@ def test_jaccard_keys_meet():
                 t = np.unique(np.concatenate([rng.permutation(s)[away:], rng.integers(0, 2**63, extra).astype(np.uint64)]))
                 overlap = len(np.intersect1d(s, t))
                 if bound.holds(np.array([overlap]), len(s), np.array([len(t)]))[0] and overlap < max(len(s), len(t)):
-                    assert np.intersect1d(bound.keys(s), bound.keys(t)).size
+                    shared = np.intersect1d(bound.keys(s), bound.keys(t)).size
+                    assert shared
+                    if bound.columns == "prefix":
+                        least = -(-bound.share * (len(s) + len(t)) // (100 + bound.share))
+                        assert shared >= min(least + 1 - -(-bound.share * len(x) // 100) for x in (s, t))
 
 
 def test_jaccard_edges(spark, odd, none):
