@@ -18,7 +18,7 @@ from leafwork.llm.queries import tokenizer_path
 
 MASK = "[secret]"
 #: Near copies: sets of five-word shingles with a Jaccard similarity of 0.8 or more.
-NEAR = jaccard.Bound(width=5, share=80, columns="prefix")
+NEAR = jaccard.Bound(width=5, share=80, columns="prefix", small=32)
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
