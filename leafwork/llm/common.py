@@ -8,8 +8,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+ROWS_PER_BATCH = 1024
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ROWS_PER_BATCH rows in this session: rows here are whole texts, and ten thousand of
+    them take too much of an executor's memory."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= ROWS_PER_BATCH:
+        spark.conf.set(name, str(ROWS_PER_BATCH))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the data folder, read by Spark so that any file system works."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

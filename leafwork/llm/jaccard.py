@@ -31,11 +31,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafwork.llm.common import cut, cut_small, unit_hash
+from leafwork.llm.common import cut, cut_small, small_batches, unit_hash
 
 #: Odd multipliers of the hash functions: fixed values.
 A, B, C, M1, M2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53))
-WORDS_KEPT = 400_000
+WORDS_KEPT = 150_000
 BITMAP_WORDS = 1 << 17
 
 
@@ -201,7 +201,7 @@ def incidence(df: DataFrame, key: str, text_col: str, bound: Bound) -> DataFrame
     """
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _texts(batches, 8192, 1 << 25):
+        for rows in _texts(batches, 4096, 1 << 24):
             sizes, keys, owners, ids = {}, [], [], []
             for _, text in rows:
                 s = shingle_set(text, bound.width)
@@ -504,6 +504,7 @@ def jaccard_join(df: DataFrame, key: str = "doc_id", text_col: str = "text", bou
     their texts link. An empty table gives no rows. rounds: how often open groups are multiplied with one more of
     their sets before all pairs across their classes are; it changes the cost, not the result.
     """
+    small_batches(df.sparkSession)
     if bound.columns == "prefix":
         bound = replace(bound, frequent=frequent_shingles(df, text_col, bound.width))
     found = cut(incidence(df, key, text_col, bound))
