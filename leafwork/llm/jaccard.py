@@ -483,7 +483,7 @@ def _still_open(members: DataFrame) -> DataFrame:
     return cut_small(members.join(keys, "key"))
 
 
-def frequent_shingles(df: DataFrame, text_col: str, width: int, share: float = 0.2, least: int = 4, most: int = 500_000) -> np.ndarray:
+def frequent_shingles(df: DataFrame, text_col: str, width: int, share: float = 0.1, least: int = 3, most: int = 500_000) -> np.ndarray:
     """Sorted hashes of the shingles that are in `least` or more texts of a sample, a share of all; the `most`
     commonest. Their order alone depends on them, no result does."""
     sample = df.select(F.lit(None).cast("long"), text_col).where(unit_hash(text_col, seed=9) < F.lit(share))
@@ -511,7 +511,12 @@ def jaccard_join(df: DataFrame, key: str = "doc_id", text_col: str = "text", bou
     sets = found.where(F.col("kind") == DOCUMENT).select(F.col("b").alias("id"), F.col("na").alias("n"), F.col("a").alias("set"))
     groups = found.where(F.col("kind") == EDGE).drop("kind")
     members = groups.select("key", F.col("a").alias("set"), F.col("na").alias("n")).unionByName(groups.select("key", F.col("b").alias("set"), F.col("nb").alias("n"))).distinct()
-    pairs = cut_small(groups.where(bound.sizes_allow("na", "nb")).select("a", "b").distinct())
+    pairs = groups.where(bound.sizes_allow("na", "nb")).select("a", "b", "na", "nb").distinct()
+    if bound.columns == "prefix":  # two sets share no more keys than either shares with any other set
+        met = cut_small(members.groupBy("set").agg(F.count("*").alias("met")))
+        pairs = pairs.join(met.select(F.col("set").alias("a"), F.col("met").alias("ma")), "a").join(met.select(F.col("set").alias("b"), F.col("met").alias("mb")), "b")
+        pairs = pairs.where(F.least("ma", "mb") >= bound.least_shared("na", "nb"))
+    pairs = cut_small(pairs.select("a", "b"))
     wanted = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
     links = cut_small(products(pairs, set_rows(wanted, sets, df, key, text_col, bound), bound))
     roots = cut_small(components(links))
