@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,6 +44,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished steps now: its cleaner acts when the driver collects garbage,
+    which may be long after what those steps made has been cut off."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def cut_small(df: DataFrame, rows_per_part: int = 100_000) -> DataFrame:
     """cut(df), then in as few partitions as its number of rows asks for: small tables make few files when shuffled."""
     df = cut(df)

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafwork.llm.common import cut, cut_small, small_batches, unit_hash
+from leafwork.llm.common import cut, cut_small, release, small_batches, unit_hash
 
 #: Odd multipliers of the hash functions: fixed values.
 A, B, C, M1, M2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53))
@@ -508,6 +508,7 @@ def jaccard_join(df: DataFrame, key: str = "doc_id", text_col: str = "text", bou
     if bound.columns == "prefix":
         bound = replace(bound, frequent=frequent_shingles(df, text_col, bound.width))
     found = cut(incidence(df, key, text_col, bound))
+    release(df.sparkSession)
     sets = found.where(F.col("kind") == DOCUMENT).select(F.col("b").alias("id"), F.col("na").alias("n"), F.col("a").alias("set"))
     groups = found.where(F.col("kind") == EDGE).drop("kind")
     members = groups.select("key", F.col("a").alias("set"), F.col("na").alias("n")).unionByName(groups.select("key", F.col("b").alias("set"), F.col("nb").alias("n"))).distinct()
@@ -521,6 +522,7 @@ def jaccard_join(df: DataFrame, key: str = "doc_id", text_col: str = "text", bou
     links = cut_small(products(pairs, set_rows(wanted, sets, df, key, text_col, bound), bound))
     roots = cut_small(components(links))
     members = _still_open(_with_roots(members, roots))
+    release(df.sparkSession)
     more = cut_small(group_pairs(members, pairs, bound))
     if not more.isEmpty():
         wanted = more.select(F.col("a").alias("set")).unionByName(more.select(F.col("b").alias("set"))).distinct()
@@ -541,6 +543,7 @@ def jaccard_join(df: DataFrame, key: str = "doc_id", text_col: str = "text", bou
     if not members.isEmpty():
         links = cut_small(links.unionByName(class_products(members, rows, bound)))
         roots = cut_small(components(links))
+    release(df.sparkSession)
     lowest = sets.where("set is not null and id is not null").groupBy("set").agg(F.min("id").alias("low"), F.count("*").alias("n_copies"))
     lowest = cut_small(lowest.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set")))
     whole = lowest.groupBy("root").agg(F.min("low").alias("component_id"))
