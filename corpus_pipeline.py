@@ -38,6 +38,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with the secrets in their texts masked and n_chars to match."""
+    common.small_batches(spark)
     found = secrets.scan_secrets(docs, mask=MASK)
     changed = F.col("n_spans") > 0
     values = {"text": F.when(changed, F.col("masked")).otherwise(F.col("text")), "n_chars": F.when(changed, F.char_length("masked").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars"))}
@@ -55,6 +56,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_tokens, ids_sha256, decoded_sha256 and the ids of each document."""
+    common.small_batches(spark)
     return pieces.tokenize(docs.select("doc_id", "source", "text"), tokenizer_path()).select("doc_id", "source", "n_tokens", "ids_sha256", "decoded_sha256", "ids")
 
 
