@@ -377,12 +377,12 @@ def class_products(members: DataFrame, rows: DataFrame, bound: Bound) -> DataFra
                     index = entries[order], np.repeat(np.arange(len(own)), n)[order], n, np.array([c for c, _ in own])
                 columns, owner, n, classes = index
                 m = np.array([len(e) for _, e in step])
-                entries = np.concatenate([e for _, e in step])
-                low, high = np.searchsorted(columns, entries), np.searchsorted(columns, entries, "right")
-                times_ = high - low
-                row = np.repeat(np.repeat(np.arange(len(step)), m), times_)
-                at = np.repeat(low - np.cumsum(times_) + times_, times_) + np.arange(times_.sum())
-                overlap = np.bincount(row * len(own) + owner[at], minlength=len(step) * len(own)).reshape(len(step), len(own))
+                overlap = np.zeros((len(step), len(own)), np.int64)
+                for k, (_, entries) in enumerate(step):  # a row at a time: its matches are at most the block's entries
+                    low = np.searchsorted(columns, entries)
+                    times_ = np.searchsorted(columns, entries, "right") - low
+                    at = np.repeat(low - np.cumsum(times_) + times_, times_) + np.arange(times_.sum())
+                    overlap[k] = np.bincount(owner[at], minlength=len(own))
                 mine = np.array([c for c, _ in step])
                 i, j = np.nonzero(bound.holds(overlap, m[:, None], n[None]) & (mine[:, None] != classes[None]))
                 if len(i):
