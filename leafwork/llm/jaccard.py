@@ -272,6 +272,13 @@ def _stars(keys: np.ndarray, owners: np.ndarray, sizes: dict[int, int], routed:
     yield from _stars_with(keys[order], owners, np.repeat([sizes[i] for i in owners[change].tolist()], runs), routed)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 128) -> Iterator[pa.RecordBatch]:
+    """The same rows in small batches: each set's row of the matrix can be large."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def _bitmap(ids: DataFrame) -> np.ndarray:
     """A bitmap of fixed size over the ids: a row of it that is not set names none of them."""
     h = F.xxhash64("id")
@@ -330,7 +337,7 @@ def products(pairs: DataFrame, rows: DataFrame, bound: Bound) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array([center] * len(good), pa.int64()), pa.array(good, pa.int64())], names=["a", "b"])
                 block.clear()
 
-        for batch in batches:
+        for batch in _slices(batches):
             for a, s, side, row in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 entries = np.frombuffer(row, np.uint64)
                 if side == 0:
@@ -390,7 +397,7 @@ def class_products(members: DataFrame, rows: DataFrame, bound: Bound) -> DataFra
                     yield pa.RecordBatch.from_arrays([pa.array(found[:, 0], pa.int64()), pa.array(found[:, 1], pa.int64())], names=["a", "b"])
             step.clear()
 
-        for batch in batches:
+        for batch in _slices(batches):
             for c, x, y, root, side, entries in zip(*(batch.column(k).to_pylist() for k in range(6))):
                 if (c, x, y) != task:
                     yield from flush()
