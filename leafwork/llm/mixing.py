@@ -4,17 +4,20 @@ Each source's documents form blocks. A source of weight w releases its block j a
 by ceil((j + 1) / w). Earliest deadline first, among released blocks, gives every slot to one block so that at all
 times each source has had its weight's share of the slots to within less than one block.
 
-Weights are fractions with a common denominator (the period), so that the schedule repeats: one period of it is
-made on the driver and serves all blocks by arithmetic. When a source runs out, the weights of the others are
-renewed and a new phase begins; there are at most as many phases as sources. All documents are kept.
+The windows are those of the given weights, taken as exact fractions, so the bound holds for them over any number of
+slots. The driver makes the schedule slot by slot: time in proportion to the number of blocks, and four numbers and a
+name for each block. When a source runs out, the weights of the others are renewed and a new phase begins; there are
+at most as many phases as sources. All documents are kept.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from array import array
 from fractions import Fraction
 from heapq import heappop, heappush
+from math import lcm
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +27,10 @@ REST = "(rest)"
 
 
 def whole_weights(weights: dict[str, float], period: int) -> dict[str, int]:
-    """Integers of sum `period` in proportion to the weights, one at least each (largest remainders)."""
+    """Integers of sum `period` in proportion to the weights, one at least each (largest remainders).
+
+    For a schedule that repeats; `mix` does not round its weights.
+    """
     period = max(period, len(weights))
     total = sum(weights.values())
     exact = {k: w / total * (period - len(weights)) for k, w in weights.items()}
@@ -58,38 +64,62 @@ def edf_period(share: dict[str, int]) -> list[tuple[str, int, int, int]]:
     return out
 
 
-@dataclass
-class Phase:
-    """From slot `start` on, the sources' shares of a period, and how many blocks each had placed before."""
-
-    start: int
-    share: dict[str, int]
-    placed: dict[str, int]
-    length: int
-    slots: list[tuple[str, int, int, int]]
-
-
-def phases(blocks: dict[str, int], weights: dict[str, float], period: int) -> list[Phase]:
-    """The phases of the schedule; each ends with the slot in which a source places its last block."""
-    placed = {k: 0 for k in blocks}
-    start, out = 0, []
-    while True:
-        left = {k: n - placed[k] for k, n in blocks.items() if n > placed[k]}
-        if not left:
-            return out
-        share = whole_weights({k: weights[k] for k in left}, period)
-        slots = edf_period(share)
-        total = len(slots)
-        at: dict[str, list[int]] = {k: [] for k in left}
-        for slot, (k, _, _, _) in enumerate(slots):
-            at[k].append(slot)
-        end = {k: (n - 1) // share[k] * total + at[k][(n - 1) % share[k]] for k, n in left.items()}
-        length = min(end.values()) + 1
-        out.append(Phase(start, share, dict(placed), length, slots))
-        whole, part = divmod(length, total)
-        for k in left:
-            placed[k] += whole * share[k] + sum(s < part for s in at[k])
-        start += length
+def exact_weights(weights: dict[str, float]) -> dict[str, int]:
+    """Integers in exactly the proportion of the weights."""
+    exact = {k: Fraction(w) for k, w in weights.items()}
+    whole = lcm(*(x.denominator for x in exact.values()))
+    return {k: int(x * whole) for k, x in exact.items()}
+
+
+def schedule(blocks: dict[str, int], weights: dict[str, float]) -> tuple[list[str], dict[str, array]]:
+    """The sources, and for each slot its source (by its place in that list), block, phase, release and deadline.
+
+    Each phase ends with the slot in which a source places its last block. Sources that have placed nothing in a
+    phase wait in the order of their weights, which is that of their first deadlines, so that a new phase costs
+    nothing for them.
+    """
+    share = exact_weights(weights)
+    names = sorted((k for k, n in blocks.items() if n), key=lambda k: (-share[k], k))
+    share, left = [share[k] for k in names], [blocks[k] for k in names]
+    placed = [0] * len(names)
+    following, before = [*range(1, len(names)), -1], [*range(-1, len(names) - 1)]  # of the sources that are not used up
+    first, total = 0 if names else -1, sum(share)
+    out = {"source": array("i"), "block": array("q"), "phase": array("i"), "release": array("q"), "deadline": array("q")}
+    start = phase = 0
+    while first >= 0:
+        fresh = first
+        ready: list[tuple[int, int, int, int]] = []
+        releases: dict[int, list[tuple[int, int]]] = {}
+        slot, ended = 0, -1
+        while ended < 0:
+            for k, j in releases.pop(slot, ()):
+                heappush(ready, (-(-(j + 1) * total // share[k]), k, j, j * total // share[k]))
+            waiting = (-(-total // share[fresh]), fresh, 0, 0) if fresh >= 0 else None
+            if waiting and (not ready or waiting < ready[0]):
+                d, k, j, r = waiting
+                fresh = following[fresh]
+            else:
+                d, k, j, r = heappop(ready)
+            if not r <= slot < d:
+                raise AssertionError("a block missed its window")
+            for name, v in (("source", k), ("block", placed[k]), ("phase", phase), ("release", start + r), ("deadline", start + d)):
+                out[name].append(v)
+            placed[k] += 1
+            slot += 1
+            if placed[k] == left[k]:
+                ended = k
+            else:
+                releases.setdefault(max(slot, (j + 1) * total // share[k]), []).append((k, j + 1))
+        a, b = before[ended], following[ended]
+        if a >= 0:
+            following[a] = b
+        else:
+            first = b
+        if b >= 0:
+            before[b] = a
+        total -= share[ended]
+        start, phase = start + slot, phase + 1
+    return names, out
 
 
 def mix(df: DataFrame, weights: dict[str, float] | None = None, source: str = "source", key: str = "doc_id", documents_per_block: int = 32, period: int = 1000, most_sources: int = 256, temperature: float = 0.5, seed: int = 4) -> DataFrame:
@@ -99,7 +129,8 @@ def mix(df: DataFrame, weights: dict[str, float] | None = None, source: str = "s
     most_sources largest sources get weights of their sizes to the power of the temperature, all others together
     form "(rest)". The order within a source is a permutation by hash of the key and row. A null source belongs
     to the rest. Rows are told apart by all columns but equal rows are interchangeable; an empty table gives no rows.
-    Columns of df with the added names are replaced.
+    Columns of df with the added names are replaced. The schedule does not repeat: period has no effect and is kept
+    for callers.
     """
     df = df.drop("stream", "block", "phase", "release", "deadline", "slot", "place")
     sizes = df.where(F.col(source).isNotNull()).groupBy(F.col(source).alias("s")).count().orderBy(F.desc("count"), "s")
@@ -133,22 +164,10 @@ def mix(df: DataFrame, weights: dict[str, float] | None = None, source: str = "s
     rows = rows.withColumn("_n", F.col("_offset") + F.row_number().over(Window.partitionBy("stream", "_bucket").orderBy("_mix", *own)) - 1)
     rows = rows.withColumns({"block": F.floor(F.col("_n") / documents_per_block).cast("long"), "place": (F.col("_n") % documents_per_block).cast("int")})
 
-    # The schedule: for each phase and stream, the shares and the slots of one period. Bounded by sources and period.
-    plan = phases({k: -(-n // documents_per_block) for k, n in counts.items()}, weights, period)
-    table = []
-    for i, p in enumerate(plan):
-        own_slots: dict[str, list[tuple[int, int, int]]] = {}
-        for slot, (k, _, r, d) in enumerate(p.slots):
-            own_slots.setdefault(k, []).append((slot, r, d))
-        following = plan[i + 1].placed if i + 1 < len(plan) else {k: p.placed[k] + 10**15 for k in p.placed}
-        for k, s in own_slots.items():
-            table.append((k, i, p.placed[k], following[k], p.start, len(p.slots), s))
-    kinds = "stream string, phase int, _first long, _last long, _start long, _period long, _slots array<struct<s:int,r:int,d:int>>"
-    schedule = df.sparkSession.createDataFrame(table, kinds)
-    j = F.col("block") - F.col("_first")
-    rows = rows.join(F.broadcast(schedule), (schedule["stream"] == rows["stream"]) & (F.col("block") >= F.col("_first")) & (F.col("block") < F.col("_last"))).drop(schedule["stream"])
-    size = F.size("_slots")
-    hit = F.get("_slots", (j % size).cast("int"))
-    at = F.col("_start") + F.floor(j / size) * F.col("_period")
-    added = [(at + hit["r"]).alias("release"), (at + hit["d"]).alias("deadline"), (at + hit["s"]).alias("slot")]
-    return rows.select(*own, "stream", "block", "phase", *added, "place")
+    # The schedule has one small row for each block; Spark broadcasts it only while it is below its own limit.
+    names, plan = schedule({k: -(-n // documents_per_block) for k, n in counts.items()}, weights)
+    number = {n: pa.array(plan[n], pa.int32() if plan[n].typecode == "i" else pa.int64()) for n in plan}
+    stream = pa.array(names, pa.string()).take(number.pop("source"))
+    slots = df.sparkSession.createDataFrame(pa.table({"stream": stream, **number, "slot": pa.array(range(len(stream)), pa.int64())}))
+    rows = rows.join(slots, ["stream", "block"])
+    return rows.select(*own, "stream", "block", "phase", "release", "deadline", "slot", "place")

@@ -196,6 +196,35 @@ def test_mix(spark, odd, none):
     assert mixing.mix(odd).count() == odd.count() and mixing.mix(none).count() == 0
 
 
+def test_schedule_keeps_the_given_weights():
+    sizes = {f"s{i:02d}": 60_000 if i == 0 else 2_000 + 371 * i for i in range(20)}
+    weights = {k: n**0.5 for k, n in sizes.items()}
+    blocks = {k: -(-n // 32) for k, n in sizes.items()} | {"s19": 1, "s18": 0}
+    names, plan = mixing.schedule(blocks, weights)
+    placed, at, phase, given = Counter(), 0, -1, Counter()
+    for t, (k, block, p, r, d) in enumerate(zip(plan["source"], *(plan[c] for c in ("block", "phase", "release", "deadline")))):
+        if p != phase:
+            phase, at, given = p, t, Counter()
+            share = {x: weights[x] for x in blocks if blocks[x] > placed[x]}
+            total = sum(share.values())
+        assert block == placed[names[k]] and r <= t < d
+        placed[names[k]] += 1
+        given[names[k]] += 1
+        assert all(abs(given[x] - w / total * (t + 1 - at)) < 1 for x, w in share.items())
+    assert placed == Counter(blocks) and len(plan["source"]) == sum(blocks.values())
+
+
+def test_mix_keeps_the_given_weights(spark):
+    sizes = {"big": 6000, **{f"s{i}": 1200 + 37 * i for i in range(19)}}
+    df = spark.createDataFrame([(i, k) for i, k in enumerate(k for k, n in sizes.items() for _ in range(n))], "doc_id long, source string")
+    got = mixing.mix(df, documents_per_block=4).where("phase = 0").groupBy("slot").agg(F.first("stream").alias("s")).orderBy("slot").collect()
+    total, given = sum(n**0.5 for n in sizes.values()), Counter()
+    assert len(got) > 3000
+    for t, r in enumerate(got):
+        given[r["s"]] += 1
+        assert all(abs(given[k] - n**0.5 / total * (t + 1)) < 1 for k, n in sizes.items())
+
+
 # --- 5: fingerprints ---------------------------------------------------------------------------------------------
 
 
