@@ -122,24 +122,21 @@ def schedule(blocks: dict[str, int], weights: dict[str, float]) -> tuple[list[st
     return names, out
 
 
-def mix(df: DataFrame, weights: dict[str, float] | None = None, source: str = "source", key: str = "doc_id", documents_per_block: int = 32, period: int = 1000, most_sources: int = 256, temperature: float = 0.5, seed: int = 4) -> DataFrame:
+def mix(df: DataFrame, weights: dict[str, float] | None = None, source: str = "source", key: str = "doc_id", documents_per_block: int = 32, period: int = 1000, temperature: float = 0.5, seed: int = 4) -> DataFrame:
     """Adds stream, block, phase, release, deadline, slot and place (in the block) to each row; order by slot, place.
 
-    weights: by source; others share the stream "(rest)" with weight 0 turned to the least one. Without weights, the
-    most_sources largest sources get weights of their sizes to the power of the temperature, all others together
-    form "(rest)". The order within a source is a permutation by hash of the key and row. A null source belongs
+    weights: by source; others share the stream "(rest)" with weight 0 turned to the least one. Without weights,
+    each source gets the weight of its size to the power of the temperature. Any number of sources is scheduled; the
+    driver has one row for each. The order within a source is a permutation by hash of the key and row. A null source belongs
     to the rest. Rows are told apart by all columns but equal rows are interchangeable; an empty table gives no rows.
     Columns of df with the added names are replaced. The schedule does not repeat: period has no effect and is kept
     for callers.
     """
     df = df.drop("stream", "block", "phase", "release", "deadline", "slot", "place")
-    sizes = df.where(F.col(source).isNotNull()).groupBy(F.col(source).alias("s")).count().orderBy(F.desc("count"), "s")
     if weights is None:
-        named = {r["s"]: r["count"] for r in sizes.limit(most_sources).collect()}
-        streams = sorted(named)
+        stream = F.coalesce(F.col(source).cast("string"), F.lit(REST))
     else:
-        streams = sorted(weights)[:most_sources]
-    stream = F.when(F.col(source).isin(streams), F.col(source)).otherwise(F.lit(REST)) if streams else F.lit(REST)
+        stream = F.when(F.col(source).isin(sorted(weights)), F.col(source)).otherwise(F.lit(REST)) if weights else F.lit(REST)
     rows = df.withColumn("stream", stream).withColumn("_mix", F.xxhash64(F.lit(seed), key))
     counts = {r["stream"]: r["count"] for r in rows.groupBy("stream").count().collect()}
     if weights is None:
@@ -150,8 +147,10 @@ def mix(df: DataFrame, weights: dict[str, float] | None = None, source: str = "s
     # Places within a stream: rows are dealt into many small buckets by hash, numbered there, and shifted by the
     # number of rows in the stream's buckets before. Buckets are as many as the stream needs, so none is large.
     per_bucket = 1024
-    buckets = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, max(1, n // per_bucket))]) if counts else F.create_map(F.lit(""), F.lit(1))
-    rows = rows.withColumn("_buckets", F.element_at(buckets, F.col("stream")))
+    # Only streams of more than one bucket are named, so at most one for each 2 * per_bucket rows.
+    buckets = [(k, n // per_bucket) for k, n in counts.items() if n >= 2 * per_bucket]
+    buckets = df.sparkSession.createDataFrame(buckets, "stream string, _buckets long")
+    rows = rows.join(F.broadcast(buckets), "stream", "left").withColumn("_buckets", F.coalesce("_buckets", F.lit(1)))
     unit = F.shiftrightunsigned("_mix", 11) / F.lit(float(1 << 53))
     rows = rows.withColumn("_bucket", F.least(F.floor(unit * F.col("_buckets")), F.col("_buckets") - 1).cast("long"))
     tally = cut(rows.groupBy("stream", "_bucket").count().withColumn("_group", F.floor(F.col("_bucket") / 1024)))

@@ -225,6 +225,17 @@ def test_mix_keeps_the_given_weights(spark):
         assert all(abs(given[k] - n**0.5 / total * (t + 1)) < 1 for k, n in sizes.items())
 
 
+def test_mix_schedules_every_source(spark):
+    df = spark.createDataFrame([(i, f"s{i % 300:03d}" if i % 10 else None) for i in range(6000)], "doc_id long, source string")
+    named = {f"s{i:03d}" for i in range(300) if i % 10}
+    assert {r["stream"] for r in mixing.mix(df).select("stream").distinct().collect()} == {*named, mixing.REST}
+    # With 400 given weights, the last name has most of the weight: it is served from the first slots on.
+    weights = {f"a{i:03d}": 1.0 for i in range(130)} | {k: 1.0 for k in named} | {"s299": 270.0}
+    got = mixing.mix(df, weights, documents_per_block=2)
+    assert got.count() == 6000 and got.where("stream = 's299' and slot < 16").select("slot").distinct().count() >= 7
+    assert {r["stream"] for r in got.select("stream").distinct().collect()} == {*named, mixing.REST}
+
+
 # --- 5: fingerprints ---------------------------------------------------------------------------------------------
 
 
