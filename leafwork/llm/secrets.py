@@ -30,7 +30,7 @@ LONG_HEX = re.compile(r"[0-9a-f]{16,}")
 KINDS = ("assign", "access", "hex", "pem", "der", "openssh", "jwt", "checked")
 _RANK = {k: i for i, k in enumerate(KINDS)}
 
-_RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{40,}={0,2}(?![A-Za-z0-9+/_=-])")
+_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}(?![A-Za-z0-9+/_=-])")
 _HEX_RUN = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{2}){24,}(?![0-9A-Za-z])|(?<![0-9A-Za-z])(?:[0-9A-F]{2}){24,}(?![0-9A-Za-z])")
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 _PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----([^-]*)-----END \1-----")

@@ -321,6 +321,15 @@ def test_secret_structures():
     assert rsa.hex() not in masked and token not in masked and fake in masked
 
 
+def test_keys_after_an_equals_sign():
+    rsa = der(0x30, b"".join([der(2, b"\0"), der(2, b"\x01" * 64), der(2, b"\x01" * 3), *[der(2, b"\x01" * 32)] * 6]))
+    ssh = b"".join(len(x).to_bytes(4, "big") + x for x in (b"ssh-ed25519", b"k" * 32))
+    key, public = (base64.b64encode(x).decode() for x in (rsa, ssh))
+    for before in ("PRIVATE_KEY=", "TLS_KEY=", "https://x.y/?key=", "A==", 'K="', "k: "):
+        assert secrets.confirmed_spans(f"{before}{key}\n") == [(len(before), len(before + key), "der")]
+        assert secrets.confirmed_spans(f"{before}{public}\n") == [(len(before), len(before + public), "openssh")]
+
+
 def test_secret_scan(spark, docs, odd, none):
     def plain(t):
         kinds = (("assign", r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[2]) >= 12), ("access", "AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 18), ("hex", "[0-9a-f]+", lambda m: len(m[0]) >= 16))
