@@ -33,7 +33,12 @@ _RANK = {k: i for i, k in enumerate(KINDS)}
 _RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}(?![A-Za-z0-9+/_=-])")
 _HEX_RUN = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{2}){24,}(?![0-9A-Za-z])|(?<![0-9A-Za-z])(?:[0-9A-F]{2}){24,}(?![0-9A-Za-z])")
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----([^-]*)-----END \1-----")
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----((?:(?!-----BEGIN ).)*?)-----END \1-----", re.DOTALL)
+#: Line ends in a PEM body, real or escaped as in JSON (once or more often), and a header line with its continuations.
+_BREAK = re.compile(r"\\+r\\+n|\\+[nr]|\r\n?")
+_HEADER = re.compile(r"(?m)^[\x20\t]*[A-Za-z][A-Za-z0-9-]*:.*(?:\n[\x20\t]+\S.*)*")
+_ENCRYPTED = re.compile(r"(?m)^[\x20\t]*Proc-Type:[\x20\t]*4,[\x20\t]*ENCRYPTED[\x20\t]*$")
+_CIPHER = re.compile(r"(?m)^[\x20\t]*DEK-Info:[\x20\t]*([A-Z0-9-]+),[\x20\t]*([0-9A-Fa-f]{16,32})[\x20\t]*$")
 _CHECKED = re.compile(r"(?<![A-Za-z0-9])gh[pousr]_([0-9A-Za-z]{36})(?![0-9A-Za-z])")
 _BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
@@ -113,6 +118,21 @@ def is_openssh(data: bytes) -> bool:
     return len(fields) >= 2 and re.fullmatch(rb"(ssh|ecdsa|sk)-[a-z0-9@.-]+", fields[0]) is not None
 
 
+def is_pem_key(label: str, body: str) -> bool:
+    """Whether the body of a PEM block is a key, in clear or encrypted.
+
+    A key encrypted by PEM headers is ciphertext without a structure: its headers must name a cipher and its first
+    block, and its length must be whole blocks of eight bytes.
+    """
+    body = _BREAK.sub("\n", body)
+    data = decode64(re.sub(r"\s", "", _HEADER.sub("", body)))
+    if not data:
+        return False
+    if _ENCRYPTED.search(body):
+        return _CIPHER.search(body) is not None and len(data) % 8 == 0
+    return is_der_key(data) or is_openssh(data) or "ENCRYPTED" in label and bool(der_items(data))
+
+
 def is_signed_token(text: str) -> bool:
     head = decode64(text.split(".", 1)[0])
     try:
@@ -148,9 +168,7 @@ def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
     found = []
     if "-----BEGIN " in text:
         for m in _PEM.finditer(text):
-            body = re.sub(r"\s", "", re.sub(r"(?m)^[A-Za-z-]+: .*$", "", m[2]))
-            data = decode64(body) if body else None
-            if data and (is_der_key(data) or is_openssh(data) or "ENCRYPTED" in m[1] + m[2] and der_items(data)):
+            if is_pem_key(m[1], m[2]):
                 found.append((m.start(), m.end(), "pem"))
     for m in _RUN.finditer(text):
         data = decode64(m[0])

@@ -330,6 +330,24 @@ def test_keys_after_an_equals_sign():
         assert secrets.confirmed_spans(f"{before}{public}\n") == [(len(before), len(before + public), "openssh")]
 
 
+def test_pem_with_headers_or_escaped_line_ends():
+    rsa = der(0x30, b"".join([der(2, b"\0"), der(2, b"\x01" * 64), der(2, b"\x01" * 3), *[der(2, b"\x01" * 32)] * 6]))
+    lines = lambda data, end: end.join(re.findall(".{1,64}", base64.b64encode(data).decode()))
+    block = lambda label, body, end: f"-----BEGIN {label}-----{end}{body}{end}-----END {label}-----"
+    cipher = bytes(random.Random(3).randbytes(640))
+    headers = "Proc-Type: 4,ENCRYPTED{0}DEK-Info: AES-128-CBC,0123456789ABCDEF0123456789ABCDEF{0}{0}"
+    for end in ("\n", "\r\n", "\\n", "\\r\\n", "\\\\n"):
+        for pem in (block("RSA PRIVATE KEY", headers.format(end) + lines(cipher, end), end), block("PRIVATE KEY", lines(rsa, end), end)):
+            text = f'{{"private_key": "{pem}{end}", "a-b": 1}}'
+            at = text.index("-----BEGIN")
+            assert secrets.confirmed_spans(text) == [(at, at + len(pem), "pem")], (end, pem)
+            assert secrets.masked(text, secrets.confirmed_spans(text), "#") == text.replace(pem, "#")
+    good = block("RSA PRIVATE KEY", lines(rsa, "\n"), "\n")
+    for bad in (block("RSA PRIVATE KEY", headers.format("\n") + lines(cipher[:-3], "\n"), "\n"), block("RSA PRIVATE KEY", lines(cipher, "\n"), "\n"), block("RSA PRIVATE KEY", "some - words", "\n"), "-----BEGIN RSA PRIVATE KEY-----\n"):
+        assert secrets.confirmed_spans(bad) == []
+        assert [(a, k) for a, _, k in secrets.confirmed_spans(bad + "\n" + good)] == [(len(bad) + 1, "pem")]  # the next block is found
+
+
 def test_secret_scan(spark, docs, odd, none):
     def plain(t):
         kinds = (("assign", r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[2]) >= 12), ("access", "AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 18), ("hex", "[0-9a-f]+", lambda m: len(m[0]) >= 16))
