@@ -295,6 +295,16 @@ def test_language_filters_correct_false_hits():
     assert abs(hits[0] / totals[0] - model.false_rate).max() < 0.003  # no n-gram of this text is known: all hits are false
 
 
+def test_language_learns_more_than_64(spark):
+    rng = random.Random(8)
+    text = {f"l{i:03d}": " ".join("".join(rng.choices("abcdefghij", k=7)) for _ in range(60)) for i in range(150)}
+    train = spark.createDataFrame([(i, t, k) for i, (k, t) in enumerate(text.items()) for _ in range(2)], "doc_id long, text string, lang string")
+    model = language.fit_language_filters(train)
+    assert model.languages == sorted(text)
+    assert [k for k, _ in model.predict(list(text.values()))] == list(text)
+    assert [model.predict([t])[0][0] for t in text.values()] == list(text)
+
+
 # --- 7: secrets --------------------------------------------------------------------------------------------------
 
 
