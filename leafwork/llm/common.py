@@ -5,19 +5,20 @@ from __future__ import annotations
 import gc
 import tempfile
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-ROWS_PER_BATCH = 1024
+ROWS_PER_BATCH, BYTES_PER_BATCH = 1024, 4 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Arrow batches of at most ROWS_PER_BATCH rows in this session: rows here are whole texts, and ten thousand of
-    them take too much of an executor's memory."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= ROWS_PER_BATCH:
-        spark.conf.set(name, str(ROWS_PER_BATCH))
+    """Arrow batches of at most ROWS_PER_BATCH rows and about BYTES_PER_BATCH bytes in this session: rows here are
+    whole texts, and ten thousand of them take too much of an executor's memory. Smaller settings stay."""
+    for name, most in (("maxRecordsPerBatch", ROWS_PER_BATCH), ("maxBytesPerBatch", BYTES_PER_BATCH)):
+        name = f"spark.sql.execution.arrow.{name}"
+        if not 0 < int(spark.conf.get(name).removesuffix("b")) <= most:
+            spark.conf.set(name, str(most))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,15 +33,25 @@ def delete(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names. Where it is unset, as in tests, a temporary one serves a local
+    master; on a cluster that would be a folder of one machine, so it is an error."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="leafwork-")
+    return folder
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The rows of df, kept in the shared checkpoint folder so that a lost executor costs no recomputation.
 
-    The folder is the session's spark.checkpoint.dir; a temporary one is set only where that is unset.
+    Spark deletes them with the DataFrame where spark.cleaner.referenceTracking.cleanCheckpoints is set.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="leafwork-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
@@ -69,17 +80,24 @@ def unit_hash(*cols: str | Column, seed: int) -> Column:
 
 
 def bounded_sample(df: DataFrame, by: str, most: int | dict, seed: int, max_chars: int) -> tuple[DataFrame, dict]:
-    """About `most` rows of each value of `by` at most (or of those that a dict names): every row where there are
-    fewer, else those with a small hash. Also how many rows of each value there are.
+    """At most `most` rows of each value of `by` (or of those that a dict names): every row where there are fewer,
+    else those with the smallest hashes. Also how many rows of each value there are.
 
     Rows whose text is null or longer than max_chars code points are not taken: what is collected has a bound
-    of most * max_chars for each value. The choice depends on doc_id and the seed, not on the partitioning.
+    of most * max_chars for each value. The choice depends on doc_id, the text and the seed, not on the partitioning.
     """
     df = df.where(F.col("text").isNotNull() & (F.char_length("text") <= max_chars) & F.col(by).isNotNull())
-    n = df.groupBy(by).agg(F.count("*").alias("_n"))
-    totals = {r[by]: r["_n"] for r in n.collect()}
-    shares = {v: min(1.0, (most.get(v, 0) if isinstance(most, dict) else most) / m) for v, m in totals.items()}
-    keep = F.lit(False)
-    for value, share in shares.items():
-        keep = keep | ((F.col(by) == F.lit(value)) & (unit_hash("doc_id", seed=seed) < F.lit(share)))
-    return df.where(keep), totals
+    totals = {r[by]: r["_n"] for r in df.groupBy(by).agg(F.count("*").alias("_n")).collect()}
+    limits = [(v, min(1.0, 1.2 * m / n + 30 / n), m) for v, n in totals.items() if (m := most.get(v, 0) if isinstance(most, dict) else most)]
+    kind = df.schema[by].dataType.simpleString()
+    limits = df.sparkSession.createDataFrame(limits, f"`{by}` {kind}, _share double, _most int")
+    # A threshold on the hash takes a few rows too many before anything is shuffled; the limit is exact.
+    taken = df.join(limits, by).withColumn("_hash", unit_hash("doc_id", "text", seed=seed)).where("_hash < _share")
+    rank = F.row_number().over(Window.partitionBy(by).orderBy("_hash"))
+    return taken.withColumn("_rank", rank).where("_rank <= _most").select(*df.columns), totals
+
+
+def one_label(labels: DataFrame, label: str, key: str = "doc_id") -> DataFrame:
+    """key and label, once for each key; keys whose labels contradict each other are left out."""
+    each = labels.where(F.col(label).isin(0, 1)).groupBy(key).agg(F.min(label).alias(label), F.max(label).alias("_most"))
+    return each.where(F.col(label) == F.col("_most")).select(key, label)

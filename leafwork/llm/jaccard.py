@@ -1,20 +1,18 @@
 """Exact n-gram Jaccard join: a blocked sparse matrix product with size-derived bounds.
 
-The documents are the rows of a sparse incidence matrix, the three-word shingles its columns. Two sets link if
-their overlap is at least 90 % of their union, which bounds the elements in which they differ by 1/19 of the sum
-of their sizes. Both steps follow from that bound.
-
-Blocks. The columns are dealt into more blocks than two linked sets can differ in, so that at least one block of
-columns is the same for both; a row's blocks are known by hashes of what is in them. Rows that share no block are
-never multiplied. The number of blocks depends on a size class; sets near a class's border also appear in the next
-one. A row without entries in a block takes part by a second dealing instead.
-
-Products. The overlap counts of rows accumulate over the columns, and pairs whose sizes alone forbid the overlap
-are dropped before. In a group that shares a block all rows are first multiplied with one of them, a few times with
-another one. Where all link, they are one class and no other pair matters. Where classes remain apart, small groups
-list their pairs across classes, and those that share fewer keys than their sizes ask for are discarded; in large
-groups the rows outside the largest class are multiplied with all rows of the group's cluster, block by block. So
-no link that could join two classes is lost, and large groups of copies cost a few products a row, not one a pair.
+The documents are the rows of a sparse incidence matrix, the shingles its columns. Overlap counts of two rows add up
+over the columns that they share; what two sets of given sizes must share to link gives all bounds.
+
+Prefix. Of a set's n shingles, in one order for all sets, two sets that link share one among the first
+n - share * n + 1. Only these columns are multiplied at first. The order puts shingles that are frequent in a sample
+last, by how frequent they are; it changes the cost and not the result.
+
+Products. Rows that share a column form a group. All rows of a group are multiplied with one of them, in full. Where
+all link, they are one class and no other pair matters. Where classes remain apart, the shared prefix columns of
+pairs across classes are counted: pair by pair in small groups, block by block in large ones. A pair whose count is
+below what its sizes ask for is discarded there; the others are multiplied in full, again pair by pair or block by
+block. Blocks hold rows of similar sizes, and a block gives back a forest of links, not one row a pair. So no link
+that could join two classes is lost, and large groups of copies cost a few products a row.
 
 Sets are known by 64-bit hashes of their shingles' 64-bit hashes: two of n different sets get the same id with
 probability n * n / 2**65.
@@ -22,7 +20,7 @@ probability n * n / 2**65.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -34,81 +32,63 @@ from pyspark.sql import functions as F
 from leafwork.llm.common import cut, cut_small, release, small_batches, unit_hash
 
 #: Odd multipliers of the hash functions: fixed values.
-A, B, C, M1, M2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53))
-WORDS_KEPT = 150_000
+A, M1, M2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53))
+WORDS_KEPT = 100_000
 BITMAP_WORDS = 1 << 17
+#: Entries of the two sides of a block product: the left one is held by a task, the right one is read in slices.
+LEFT, RIGHT = 400_000, 2_000_000
 
 
 @dataclass(frozen=True)
 class Bound:
     """What links: 100 * overlap >= share * union, of sets of `width`-word shingles.
 
-    columns says how rows are brought together: `blocks`, or `prefix` for shingles that few unrelated texts share.
-    Of a set's shingles in one order for all, two sets that link share one among the first n - share * n + 1; shingles
-    that are frequent in a sample come last in that order, which changes the cost but not the result.
-
     small: in groups of up to so many rows the pairs across classes are listed, half as many a row at most; larger ones
-    are multiplied by blocks. It changes the cost, not the result.
+    are multiplied by blocks. frequent: sorted shingles that come late in the order, ranks: how late. These three
+    change the cost, not the result.
     """
 
     width: int = 3
     share: int = 90
-    columns: str = "blocks"
-    small: int = 0
+    small: int = 32
     frequent: np.ndarray | None = None
-
-    def size_classes(self, n: int) -> list[tuple[int, int]]:
-        """The classes in which a set of n elements appears: class number and its number of column blocks.
-
-        Linked sets differ in at most (100 - share) / (100 + share) of their sizes' sum. Classes grow by half; the
-        first begins with the smallest size at which different sets can link.
-        """
-        out, low, k = [], 100 // (100 - self.share), 0
-        while low * self.share <= n * 100:
-            high = max(low + 1, low * 3 // 2)
-            if n < high:
-                out.append((k, 2 * (high - 1) * (100 - self.share) // (100 + self.share) + 1))
-            low, k = high, k + 1
-        return out
+    ranks: np.ndarray | None = None
 
     def keys(self, s: np.ndarray) -> np.ndarray:
-        """Hashes by which the set meets all sets that it may link to."""
-        if self.columns == "blocks":
-            return block_keys(s, self.size_classes(len(s)))
+        """The set's prefix: the columns by which it meets all sets that it may link to."""
         if not len(s):
-            return np.zeros(0, np.int64)
-        order = s
+            return s
         if self.frequent is not None and len(self.frequent):
             at = np.minimum(np.searchsorted(self.frequent, s), len(self.frequent) - 1)
-            late = self.frequent[at] == s
-            order = np.concatenate([s[~late], s[late]])
-        return order[: len(s) - -(-self.share * len(s) // 100) + 1].view(np.int64)
+            late = np.where(self.frequent[at] == s, self.ranks[at], 0)
+            if late.any():
+                s = s[np.argsort(late, kind="stable")]
+        return s[: len(s) - -(-self.share * len(s) // 100) + 1]
 
     def sizes_allow(self, na: str, nb: str) -> Column:
         """Whether the sizes allow the overlap."""
         return F.least(na, nb) * 100 >= F.greatest(na, nb) * self.share
 
     def least_shared(self, na: str, nb: str) -> Column:
-        """How many keys two sets of these sizes share at least if they link.
+        """How many prefix columns two sets of these sizes share at least if they link.
 
         Of the prefix whose last shingle comes first in the order, only shingles that the other set lacks are not
         shared, and by the sizes there are few of those.
         """
-        if self.columns == "blocks":
-            return F.lit(1)
         overlap = F.ceil(self.share * (F.col(na) + F.col(nb)) / (100 + self.share))
         shared = [overlap - F.ceil(self.share * F.col(n) / 100) + 1 for n in (na, nb)]
         return F.greatest(F.lit(1), F.least(*shared))
 
+    def may_hold(self, shared: np.ndarray, na: int, nb: np.ndarray) -> np.ndarray:
+        """The same bound for counts of shared prefix columns, with that of the sizes."""
+        overlap = -(-self.share * (na + nb) // (100 + self.share))
+        least = overlap + 1 - np.maximum(-(-self.share * na // 100), -(-self.share * nb // 100))
+        return (np.minimum(na, nb) * 100 >= np.maximum(na, nb) * self.share) & (shared >= np.maximum(1, least))
+
     def holds(self, overlap: np.ndarray, na: np.ndarray | int, nb: np.ndarray) -> np.ndarray:
         return 100 * overlap >= self.share * (na + nb - overlap)
 
 
-def times(k: int, m: np.uint64) -> np.uint64:
-    """k * m modulo 2**64, of scalars."""
-    return np.uint64(k * int(m) & 0xFFFFFFFFFFFFFFFF)
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
     x = (x ^ (x >> np.uint64(33))) * M1
@@ -123,7 +103,7 @@ def shingle_set(text: str | None, width: int = 3) -> np.ndarray:
     """Sorted distinct hashes of the shingles of `width` words; of the whole sequence if it is shorter; empty without words."""
     words = (text or "").encode().lower().split()  # of bytes: only A-Z change, only 09 to 0D and space separate
     if not words:
-        return np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64)
     if len(_words) > WORDS_KEPT:
         _words.clear()
     ids = []
@@ -137,7 +117,7 @@ def shingle_set(text: str | None, width: int = 3) -> np.ndarray:
     h = np.full(n, min(len(x), width), np.uint64)
     for k in range(min(len(x), width)):
         h += x[k : k + n] * np.uint64(pow(int(A), k + 1, 1 << 64))
-    return np.unique(mixed(h))
+    return np.unique(mixed(h).view(np.int64))
 
 
 def set_id(s: np.ndarray) -> int:
@@ -145,39 +125,12 @@ def set_id(s: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).astype(np.int64))
 
 
-def _dealt(s: np.ndarray, blocks: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each block whether it has entries, and the sum of their hashes."""
-    h = mixed(s + times(salt, C))
-    block = ((h >> np.uint64(40)) * np.uint64(blocks) >> np.uint64(24)).astype(np.int64)
-    order = np.argsort(block, kind="stable")
-    filled, starts = np.unique(block[order], return_index=True)
-    sums = np.zeros(blocks, np.uint64)
-    sums[filled] = np.add.reduceat(mixed(h[order] ^ B), starts)
-    has = np.zeros(blocks, bool)
-    has[filled] = True
-    return has, sums
-
-
-def block_keys(s: np.ndarray, classes: list[tuple[int, int]]) -> np.ndarray:
-    """Hashes of the contents of the set's column blocks: two sets that link and differ share at least one."""
-    keys = []
-    for k, blocks in classes:
-        has, sums = _dealt(s, blocks, 2 * k + 1)
-        places = np.arange(blocks, dtype=np.uint64)
-        base = times(k + 1, A)
-        keys.append(mixed(sums[has] ^ mixed(base + places[has] * B)))
-        for i in np.flatnonzero(~has):  # an empty block says nothing: those that share it are told apart by another dealing
-            _, other = _dealt(s, blocks, (2 * k + 1) * 65536 + int(i) + 7)
-            keys.append(mixed(other ^ mixed(places * M1 + np.array([base]) + times(int(i), C) + np.uint64(1))))
-    return np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
-
-
-def _texts(batches: Iterator[pa.RecordBatch], most_rows: int, most_bytes: int) -> Iterator[list[tuple[int | None, str | None]]]:
-    """Rows (id, text) in lists of bounded size."""
+def _texts(batches: Iterator[pa.RecordBatch], most_rows: int, most_bytes: int) -> Iterator[list[tuple]]:
+    """Rows (id, text, ...) in lists of bounded size."""
     rows: list = []
     size = 0
     for batch in batches:
-        for pair in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for pair in zip(*(c.to_pylist() for c in batch.columns)):
             rows.append(pair)
             size += len(pair[1] or "")
             if len(rows) >= most_rows or size >= most_bytes:
@@ -193,7 +146,8 @@ DOCUMENT, EDGE, GROUP = 0, 1, 2
 
 
 def incidence(df: DataFrame, key: str, text_col: str, bound: Bound) -> DataFrame:
-    """One pass over the texts. Rows of kind DOCUMENT: a its set (null if empty), b its key, na its set's size. Rows of
+    """One pass over the texts. Rows of kind DOCUMENT: key a hash of its text, a its set (null if empty), b its key,
+    na its set's size. Rows of
     kind EDGE: for each group of sets that share a block (key), edges from one of them (a) to the others (b).
 
     Edges inside a task are made there, and only one set of each group travels by the block's key, so a group of
@@ -203,7 +157,7 @@ def incidence(df: DataFrame, key: str, text_col: str, bound: Bound) -> DataFrame
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _texts(batches, 4096, 1 << 24):
             sizes, keys, owners, ids = {}, [], [], []
-            for _, text in rows:
+            for _, text, _ in rows:
                 s = shingle_set(text, bound.width)
                 own = set_id(s) if len(s) else None
                 ids.append((own, len(s)))
@@ -214,28 +168,29 @@ def incidence(df: DataFrame, key: str, text_col: str, bound: Bound) -> DataFrame
                 if own is not None:
                     sizes[own] = len(s)
             n = len(rows)
-            none = pa.nulls(n, pa.int64())
-            yield _batch(pa.array(np.arange(n), pa.int64()), DOCUMENT, none, pa.array([o for o, _ in ids], pa.int64()), pa.array([i for i, _ in rows], pa.int64()), pa.array([x for _, x in ids], pa.int64()), none)
+            number = lambda x: pa.array(x, pa.int64())
+            owned, ids, hashes = ([o for o, _ in ids], [x for _, x in ids]), [i for i, _, _ in rows], [h for _, _, h in rows]
+            yield _batch(number(np.arange(n)), DOCUMENT, number(hashes), number(owned[0]), number(ids), number(owned[1]), pa.nulls(n, pa.int64()))
             if keys:
                 yield from _stars(np.concatenate(keys), np.concatenate(owners), sizes, True)
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, owners, ns = [], [], []
-        for b in batches:
-            group = pa.array(b.column("kind").to_numpy() == GROUP)
-            if group.true_count < b.num_rows:
-                other = pa.array(~group.to_numpy(zero_copy_only=False))
+        last = None  # the group that may go on in the next batch: its key, center and the center's size
+        for b in batches:  # in order of the route, which is a group's key
+            group = b.column("kind").to_numpy() == GROUP
+            if not group.all():
+                other = pa.array(~group)
                 yield pa.RecordBatch.from_arrays([c.filter(other) for c in b.columns[1:]], names=_NAMES)
-            keys.append(b.column("key").filter(group).to_numpy())
-            owners.append(b.column("a").filter(group).to_numpy())
-            ns.append(b.column("na").filter(group).to_numpy())
-        if keys:
-            a, n = np.concatenate(owners), np.concatenate(ns)
-            order = np.lexsort((a, np.concatenate(keys)))
-            yield from _stars_with(np.concatenate(keys)[order], a[order], n[order])
+            if group.any():
+                keys, owners, ns = (b.column(c).filter(pa.array(group)).to_numpy() for c in ("key", "a", "na"))
+                if last is not None and last[0] == keys[0]:
+                    keys, owners, ns = (np.append(x, y) for x, y in zip(last, (keys, owners, ns)))
+                yield from _stars_with(keys, owners, ns)
+                first = np.searchsorted(keys[::-1] != keys[-1], True)  # rows of the last group
+                last = (keys[-1], owners[len(keys) - first], ns[len(keys) - first])
 
-    rows = df.select(F.col(key).cast("long"), F.col(text_col)).mapInArrow(local, "route long, " + KINDS)
-    return rows.repartition("route").mapInArrow(joined, KINDS)
+    rows = df.select(F.col(key).cast("long"), F.col(text_col), F.xxhash64(text_col)).mapInArrow(local, "route long, " + KINDS)
+    return rows.repartition("route").sortWithinPartitions("route", "a").mapInArrow(joined, KINDS)
 
 
 def _batch(route: pa.Array | None, kind: int, *columns: pa.Array) -> pa.RecordBatch:
@@ -272,11 +227,11 @@ def _stars(keys: np.ndarray, owners: np.ndarray, sizes: dict[int, int], routed:
     yield from _stars_with(keys[order], owners, np.repeat([sizes[i] for i in owners[change].tolist()], runs), routed)
 
 
-def _slices(batches: Iterator[pa.RecordBatch], rows: int = 128) -> Iterator[pa.RecordBatch]:
-    """The same rows in small batches: each set's row of the matrix can be large."""
-    for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
+def _rows(batch: pa.RecordBatch, column: str = "row") -> list[np.ndarray]:
+    """The entries of each row of the matrix in the batch."""
+    lists = batch.column(column)
+    offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+    return [values[a:b] for a, b in zip(offsets, offsets[1:])]
 
 
 def _bitmap(ids: DataFrame) -> np.ndarray:
@@ -301,11 +256,11 @@ def set_rows(wanted: DataFrame, sets: DataFrame, df: DataFrame, key: str, text_c
             hit = (bits[h & (BITMAP_WORDS - 1)] >> ((h.view(np.uint64) >> np.uint64(58)).astype(np.int64))) & 1
             taken = b.filter(pa.array(hit.astype(bool)))
             for rows in _texts(iter([taken]), 512, 1 << 24):
-                found = [shingle_set(t, bound.width) for _, t in rows]
-                yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), pa.array([set_id(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["id", "set", "row"])
+                found = [shingle_set(t, bound.width) for _, t, _ in rows]
+                yield pa.RecordBatch.from_arrays([pa.array([i for i, _, _ in rows], pa.int64()), pa.array([set_id(s) for s in found], pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["id", "set", "row"])
 
     source = df.select(F.col(key).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(key).cast("long")).alias("h")).where("id is not null")
-    found = source.mapInArrow(needed, "id long, set long, row binary")
+    found = source.mapInArrow(needed, "id long, set long, row array<long>")
     # Dealt once, by the set: neither the duplicates nor a join by the set move the rows again.
     return found.join(reps.select("set", F.col("id").alias("rep")), "set").where("id = rep").dropDuplicates(["set"]).select("set", "row")
 
@@ -323,9 +278,10 @@ def products(pairs: DataFrame, rows: DataFrame, bound: Bound) -> DataFrame:
     sides = sides.join(rows, "set").repartition("a", "salt").sortWithinPartitions("a", "salt", "side")
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        center, own, block = None, None, []
+        center, own, block, size = None, None, [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal size
             if block:
                 lengths = np.array([len(s) for _, s in block])
                 entries = np.concatenate([s for _, s in block])
@@ -336,116 +292,156 @@ def products(pairs: DataFrame, rows: DataFrame, bound: Bound) -> DataFrame:
                 if good:
                     yield pa.RecordBatch.from_arrays([pa.array([center] * len(good), pa.int64()), pa.array(good, pa.int64())], names=["a", "b"])
                 block.clear()
+                size = 0
 
-        for batch in _slices(batches):
-            for a, s, side, row in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                entries = np.frombuffer(row, np.uint64)
+        for batch in batches:
+            for a, s, side, entries in zip(*(batch.column(i).to_pylist() for i in range(3)), _rows(batch)):
                 if side == 0:
                     yield from flush()
-                    center, own = a, entries
+                    center, own = a, entries.copy()
                 else:
                     block.append((s, entries))
-                    if len(block) >= 64:
+                    size += len(entries)
+                    if size >= 1 << 16:
                         yield from flush()
-        yield from flush()
+            yield from flush()  # the entries are the batch's own
 
     return sides.select("a", "set", "side", "row").mapInArrow(multiply, "a long, b long")
 
 
-def class_products(members: DataFrame, rows: DataFrame, bound: Bound) -> DataFrame:
-    """Links between classes (their roots, a and b) that are left in groups with several classes.
+def block_products(nodes: DataFrame, label: str, test: Callable[[np.ndarray, int, np.ndarray], np.ndarray], share: int) -> DataFrame:
+    """a, b: labels that pairs of rows join which pass the test and belong to different classes; of the pairs in a
+    block only as many as connect what they connect.
 
-    members: key, set, n, root of such groups. Groups that share sets form a cluster. In each cluster the rows
-    outside its largest class are multiplied with all its rows, block by block; a task holds one block of each side,
-    and gives back pairs of classes, not of rows.
+    nodes: cluster, set, n, root (the class), row and the label. In each cluster the rows outside its largest class are
+    multiplied with all its rows. Only rows whose sizes allow a link meet: sizes fall into ranges, and a block of the
+    left side meets rows of the same and the neighbouring ranges. A task holds one left block of LEFT entries, whose
+    columns are in order, and reads the right one in slices.
     """
-    edges = members.groupBy("key").agg(F.min("set").alias("a")).join(members.select("key", F.col("set").alias("b")), "key").select("a", "b")
-    clusters = cut_small(components(edges))
-    nodes = cut_small(members.select("set", "root").distinct().join(clusters.select(F.col("node").alias("set"), F.col("root").alias("cluster")), "set"))
-    sizes = nodes.groupBy("cluster", "root").agg(F.count("*").alias("m"))
-    sizes = sizes.groupBy("cluster").agg(F.max_by("root", F.struct("m", "root")).alias("most"), F.sum("m").alias("all"), F.max("m").alias("largest"))
-    nodes = nodes.join(sizes, "cluster").withColumns({"us": F.ceil((F.col("all") - F.col("largest")) / 512).cast("int"), "rs": F.ceil(F.col("all") / 2048).cast("int")}).where("us > 0")
-    u = F.pmod(F.xxhash64("set"), F.col("us")).cast("int")
-    r = F.pmod(F.xxhash64("set", F.lit(1)), F.col("rs")).cast("int")
-    left = nodes.where("root <> most").select("cluster", u.alias("u"), F.explode(F.sequence(F.lit(0), F.col("rs") - 1)).alias("r"), "set", "root", F.lit(0).alias("side"))
-    right = nodes.select("cluster", F.explode(F.sequence(F.lit(0), F.col("us") - 1)).alias("u"), r.alias("r"), "set", "root", F.lit(1).alias("side"))
-    both = left.unionByName(right).join(rows, "set").repartition("cluster", "u", "r").sortWithinPartitions("cluster", "u", "r", "side")
+    sized = F.floor(F.log(F.col("n").cast("double")) / (1.001 * float(np.log(100 / share)))).cast("int")
+    nodes = nodes.select("cluster", "set", "n", "root", F.col(label).alias("label"), "row", sized.alias("range"))
+    most = nodes.groupBy("cluster", "root").agg(F.count("*").alias("m")).groupBy("cluster").agg(F.max_by("root", F.struct("m", "root")).alias("most"))
+    nodes = nodes.join(most, "cluster").withColumn("left", F.col("root") != F.col("most")).drop("most")
+    entries = F.size("row") + 64
+    lefts = nodes.where("left").groupBy("cluster", "range").agg(F.ceil(F.sum(entries) / LEFT).cast("int").alias("us"))
+    near = lefts.select("cluster", F.col("range").alias("of"), "us", F.explode(F.array(*[F.col("range") + k for k in (-1, 0, 1)])).alias("range"))
+    rights = nodes.join(near.select("cluster", "range", "of"), ["cluster", "range"]).groupBy("cluster", "of").agg(F.ceil(F.sum(entries) / RIGHT).cast("int").alias("rs"))
+    tasks = cut_small(near.join(rights, ["cluster", "of"]))
+    of = lambda seed, count: F.pmod(F.xxhash64("set", F.lit(seed)), F.col(count)).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    columns = ["label", "root", "n", "row"]
+    left = nodes.where("left").join(tasks.where("of = range"), ["cluster", "range"]).select("cluster", "of", of(0, "us").alias("u"), every("rs").alias("r"), F.lit(0).alias("side"), *columns)
+    right = nodes.join(tasks, ["cluster", "range"]).select("cluster", "of", every("us").alias("u"), of(1, "rs").alias("r"), F.lit(1).alias("side"), *columns)
+    both = left.unionByName(right).repartition("cluster", "of", "u", "r").sortWithinPartitions("cluster", "of", "u", "r", "side")
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, own, index, step = None, [], None, []
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal index
-            if own and step:
+        task, held, index, trees = None, [], None, Forest()
+        for batch in batches:
+            found: list[tuple[int, int]] = []
+            for c, of, u, r, side, name, root, n, entries in zip(*(batch.column(k).to_pylist() for k in range(8)), _rows(batch)):
+                if (c, of, u, r) != task:
+                    task, held, index, trees = (c, of, u, r), [], None, Forest()
+                if side == 0:
+                    held.append((name, root, n, entries.copy()))
+                    continue
+                if index is None and not held:
+                    continue
                 if index is None:  # the block's columns: its entries in order, and the row of each
-                    n = np.array([len(e) for _, e in own])
-                    entries = np.concatenate([e for _, e in own])
-                    order = np.argsort(entries, kind="stable")
-                    index = entries[order], np.repeat(np.arange(len(own)), n)[order], n, np.array([c for c, _ in own])
-                columns, owner, n, classes = index
-                m = np.array([len(e) for _, e in step])
-                overlap = np.zeros((len(step), len(own)), np.int64)
-                for k, (_, entries) in enumerate(step):  # a row at a time: its matches are at most the block's entries
-                    low = np.searchsorted(columns, entries)
-                    times_ = np.searchsorted(columns, entries, "right") - low
-                    at = np.repeat(low - np.cumsum(times_) + times_, times_) + np.arange(times_.sum())
-                    overlap[k] = np.bincount(owner[at], minlength=len(own))
-                mine = np.array([c for c, _ in step])
-                i, j = np.nonzero(bound.holds(overlap, m[:, None], n[None]) & (mine[:, None] != classes[None]))
-                if len(i):
-                    found = np.unique(np.stack([mine[i], classes[j]], 1), axis=0)
-                    yield pa.RecordBatch.from_arrays([pa.array(found[:, 0], pa.int64()), pa.array(found[:, 1], pa.int64())], names=["a", "b"])
-            step.clear()
-
-        for batch in _slices(batches):
-            for c, x, y, root, side, entries in zip(*(batch.column(k).to_pylist() for k in range(6))):
-                if (c, x, y) != task:
-                    yield from flush()
-                    task, own, index = (c, x, y), [], None
-                (step if side else own).append((root, np.frombuffer(entries, np.uint64)))
-                if len(step) >= 32:
-                    yield from flush()
-        yield from flush()
-
-    return both.select("cluster", "u", "r", "root", "side", "row").mapInArrow(multiply, "a long, b long").distinct()
+                    names, roots, sizes = (np.array([x[k] for x in held], np.int64) for k in range(3))
+                    columns = np.concatenate([x[3] for x in held])
+                    owner = np.repeat(np.arange(len(held)), [len(x[3]) for x in held])
+                    order = np.argsort(columns, kind="stable")
+                    index, held, tops = (columns[order], owner[order]), [], names.copy()
+                low = np.searchsorted(index[0], entries)
+                times = np.searchsorted(index[0], entries, "right") - low
+                at = np.repeat(low - np.cumsum(times) + times, times) + np.arange(times.sum())
+                overlap = np.bincount(index[1][at], minlength=len(names))
+                passed = test(overlap, n, sizes) & (roots != root)
+                for top in np.unique(tops[passed]).tolist() if passed.any() else ():
+                    if x := trees.join(name, top):
+                        found.append((name, top))
+                        tops[tops == x[0]] = x[1]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
+
+    return both.select("cluster", "of", "u", "r", "side", *columns).mapInArrow(multiply, "a long, b long")
+
+
+def _in_clusters(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """The nodes that the edges reach, each with its component as the cluster."""
+    return nodes.join(components(edges).select(F.col("node").alias("set"), F.col("root").alias("cluster")), "set")
+
+
+def class_links(open_groups: DataFrame, members: DataFrame, rows: Callable[[DataFrame], DataFrame], bound: Bound) -> DataFrame:
+    """Links between classes (their roots, a and b) that are left in large groups with several classes.
+
+    open_groups: key, set, n, root of such groups, members: key and set of all groups, rows: the full rows of given
+    sets. Groups that share sets form a cluster. First only prefix columns are multiplied: a pair that shares fewer
+    than its sizes ask for is discarded. What is left falls into smaller clusters, which are multiplied in full.
+    """
+    edges = open_groups.groupBy("key").agg(F.min("set").alias("a")).join(open_groups.select("key", F.col("set").alias("b")), "key").select("a", "b")
+    nodes = cut_small(_in_clusters(open_groups.select("set", "n", "root").distinct(), edges))
+    keys = members.join(nodes.select("set"), "set", "left_semi").groupBy("set").agg(F.sort_array(F.collect_list("key")).alias("row"))
+    near = cut_small(block_products(cut(nodes.join(keys, "set")), "set", bound.may_hold, bound.share))
+    if near.isEmpty():
+        return near
+    nodes = cut_small(_in_clusters(nodes.drop("cluster"), near))
+    full = cut(nodes.join(rows(nodes.select("set")), "set"))
+    return block_products(full, "root", bound.holds, bound.share)
+
+
+class Forest:
+    """Sets of numbers that are joined, each known by its smallest one."""
+
+    def __init__(self) -> None:
+        self.parent: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        parent = self.parent
+        while (p := parent.setdefault(x, x)) != x:
+            parent[x] = parent[p]
+            x = p
+        return x
+
+    def join(self, x: int, y: int) -> tuple[int, int] | None:
+        """Of two trees that become one the former and the remaining top; None if they were one."""
+        x, y = self.find(x), self.find(y)
+        if x == y:
+            return None
+        high, low = max(x, y), min(x, y)
+        self.parent[high] = low
+        return high, low
 
 
 def _forest(edges: DataFrame) -> DataFrame:
     """u, v: stars with the smallest node of each component that the edges of one partition make."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parent: dict[int, int] = {}
-
-        def find(x: int) -> int:
-            while (p := parent.setdefault(x, x)) != x:
-                parent[x] = parent[p]
-                x = p
-            return x
-
+        trees = Forest()
         for b in batches:
             for u, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                u, v = find(u), find(v)
-                if u != v:
-                    parent[max(u, v)] = min(u, v)
-        pairs = [(x, r) for x in list(parent) if (r := find(x)) != x]
+                trees.join(u, v)
+        pairs = [(x, r) for x in list(trees.parent) if (r := trees.find(x)) != x]
         if pairs:
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.int64()), pa.array([r for _, r in pairs], pa.int64())], names=["u", "v"])
 
     return edges.select("u", "v").mapInArrow(run, "u long, v long")
 
 
-def components(links: DataFrame, rounds: int = 60, rows_per_part: int = 200_000) -> DataFrame:
+def components(links: DataFrame, rows_per_part: int = 200_000) -> DataFrame:
     """node, root: the smallest node that each node of the links reaches.
 
     Each partition of at most about rows_per_part links makes a forest of stars. Where that is all of them, it is the
-    result; else large and small stars in turn bring the forests together until nothing changes.
+    result; else large and small stars in turn bring the forests together until nothing changes: each turn moves nodes
+    to smaller ones only, so it ends, and as a rule after a few turns, the logarithm of the nodes squared at most.
     """
     links = links.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u <> v")
     edges = cut_small(_forest(cut_small(links, rows_per_part)), rows_per_part)
     alone = edges.count() < rows_per_part
     if alone:
         edges = cut(_forest(edges))
-    for _ in range(0 if alone else rounds):
+    settled = alone
+    while not settled:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
@@ -454,12 +450,7 @@ def components(links: DataFrame, rounds: int = 60, rows_per_part: int = 200_000)
         new = cut_small(small.distinct(), rows_per_part)
         same = new.agg(F.count("*").alias("n"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0)).alias("x")).first()
         was = edges.distinct().agg(F.count("*").alias("n"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0)).alias("x")).first()
-        edges = new
-        if same == was:
-            break
-    else:
-        if not alone:
-            raise RuntimeError("components did not settle")
+        edges, settled = new, same == was
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
@@ -490,70 +481,71 @@ def _still_open(members: DataFrame) -> DataFrame:
     return cut_small(members.join(keys, "key"))
 
 
-def frequent_shingles(df: DataFrame, text_col: str, width: int, share: float = 0.1, least: int = 3, most: int = 500_000) -> np.ndarray:
-    """Sorted hashes of the shingles that are in `least` or more texts of a sample, a share of all; the `most`
-    commonest. Their order alone depends on them, no result does."""
+def with_order(bound: Bound, df: DataFrame, text_col: str, share: float = 0.1, most_texts: int = 1_000_000, least: int = 2, most: int = 500_000) -> Bound:
+    """The bound with an order of the shingles from a sample of the texts, a share of all and about most_texts at most:
+    those in `least` or more of them (the `most` commonest) come late, by the logarithm of their number. Only the order
+    depends on the sample, no result does."""
+    share = min(share, most_texts / max(1, df.count()))
     sample = df.select(F.lit(None).cast("long"), text_col).where(unit_hash(text_col, seed=9) < F.lit(share))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _texts(batches, 1024, 1 << 24):
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([shingle_set(t, width) for _, t in rows]).view(np.int64))], names=["h"])
+            h, m = np.unique(np.concatenate([shingle_set(t, bound.width) for _, t, *_ in rows]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(m)], names=["h", "m"])
 
-    counted = sample.mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("m")).where(F.col("m") >= least).orderBy(F.desc("m"), "h").limit(most)
-    return np.sort(np.array([r["h"] for r in counted.collect()], np.int64).view(np.uint64))
+    counted = sample.mapInArrow(run, "h long, m long").groupBy("h").agg(F.sum("m").alias("m")).where(F.col("m") >= least).orderBy(F.desc("m"), "h").limit(most)
+    counted = counted.select("h", F.least(F.floor(F.log2("m")), F.lit(100)).cast("byte").alias("late")).orderBy("h").toArrow()
+    return replace(bound, frequent=counted["h"].to_numpy(), ranks=counted["late"].to_numpy().astype(np.uint8))
 
 
-def jaccard_join(df: DataFrame, key: str = "doc_id", text_col: str = "text", bound: Bound = Bound(), rounds: int = 3) -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest key reachable by links) and n_copies (rows with the same set).
+def jaccard_join(df: DataFrame, key: str = "doc_id", text_col: str = "text", bound: Bound = Bound()) -> DataFrame:
+    """doc_id, n_shingles, component_id (the smallest key reachable by links), n_copies (rows with the same set),
+    class_id (the same for all rows that links join, null for an empty set) and text_hash (xxhash64 of the text).
 
     Rows with a null key are returned with their own size and no component. A null text has no words; sets without
     elements link to nothing. Rows with the same key are one document's parts: they share its component only if
-    their texts link. An empty table gives no rows. rounds: how often open groups are multiplied with one more of
-    their sets before all pairs across their classes are; it changes the cost, not the result.
+    their texts link. An empty table gives no rows. Other columns of df, whatever their names, are not looked at.
     """
-    small_batches(df.sparkSession)
-    if bound.columns == "prefix":
-        bound = replace(bound, frequent=frequent_shingles(df, text_col, bound.width))
+    spark = df.sparkSession
+    small_batches(spark)
+    bound = with_order(bound, df, text_col)
     found = cut(incidence(df, key, text_col, bound))
-    release(df.sparkSession)
-    sets = found.where(F.col("kind") == DOCUMENT).select(F.col("b").alias("id"), F.col("na").alias("n"), F.col("a").alias("set"))
+    release(spark)
+    sets = found.where(F.col("kind") == DOCUMENT).select(F.col("b").alias("id"), F.col("na").alias("n"), F.col("a").alias("set"), F.col("key").alias("text_hash"))
     groups = found.where(F.col("kind") == EDGE).drop("kind")
-    members = groups.select("key", F.col("a").alias("set"), F.col("na").alias("n")).unionByName(groups.select("key", F.col("b").alias("set"), F.col("nb").alias("n"))).distinct()
+    every = groups.select("key", F.col("a").alias("set"), F.col("na").alias("n")).unionByName(groups.select("key", F.col("b").alias("set"), F.col("nb").alias("n"))).distinct()
+    every = cut_small(every, 500_000)
+    rows = lambda wanted: set_rows(wanted, sets, df, key, text_col, bound)
+    sides = lambda pairs: pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
+    # Two sets share no more columns than either shares with any other set.
+    met = cut_small(every.groupBy("set").agg(F.count("*").alias("met")))
     pairs = groups.where(bound.sizes_allow("na", "nb")).select("a", "b", "na", "nb").distinct()
-    if bound.columns == "prefix":  # two sets share no more keys than either shares with any other set
-        met = cut_small(members.groupBy("set").agg(F.count("*").alias("met")))
-        pairs = pairs.join(met.select(F.col("set").alias("a"), F.col("met").alias("ma")), "a").join(met.select(F.col("set").alias("b"), F.col("met").alias("mb")), "b")
-        pairs = pairs.where(F.least("ma", "mb") >= bound.least_shared("na", "nb"))
-    pairs = cut_small(pairs.select("a", "b"))
-    wanted = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
-    links = cut_small(products(pairs, set_rows(wanted, sets, df, key, text_col, bound), bound))
+    pairs = pairs.join(met.select(F.col("set").alias("a"), F.col("met").alias("ma")), "a").join(met.select(F.col("set").alias("b"), F.col("met").alias("mb")), "b")
+    pairs = cut_small(pairs.where(F.least("ma", "mb") >= bound.least_shared("na", "nb")).select("a", "b"))
+    links = cut_small(products(pairs, rows(sides(pairs)), bound))
     roots = cut_small(components(links))
-    members = _still_open(_with_roots(members, roots))
-    release(df.sparkSession)
+    members = _still_open(_with_roots(every, roots))
+    release(spark)
     more = cut_small(group_pairs(members, pairs, bound))
     if not more.isEmpty():
-        wanted = more.select(F.col("a").alias("set")).unionByName(more.select(F.col("b").alias("set"))).distinct()
-        links = cut_small(links.unionByName(products(more, set_rows(wanted, sets, df, key, text_col, bound), bound)))
+        links = cut_small(links.unionByName(products(more, rows(sides(more)), bound)))
         roots = cut_small(components(links))
     members = _still_open(_with_roots(members.where(F.col("m") > bound.small), roots))
+    release(spark)
     if not members.isEmpty():
-        rows = cut(set_rows(members.select("set").distinct(), sets, df, key, text_col, bound))
-    for r in range(rounds):
-        if members.isEmpty():
-            break
-        order = F.struct(F.xxhash64("set", F.lit(r)).alias("h"), "set", "n", "root")
-        centers = members.groupBy("key").agg(F.min(order).alias("c")).select("key", F.col("c.set").alias("a"), F.col("c.n").alias("na"), F.col("c.root").alias("ra"))
-        pairs = cut_small(members.join(centers, "key").where((F.col("ra") != F.col("root")) & bound.sizes_allow("na", "n")).select("a", F.col("set").alias("b")).distinct())
-        links = cut_small(links.unionByName(products(pairs, rows, bound)))
-        roots = cut_small(components(links))
-        members = _still_open(_with_roots(members, roots))
-    if not members.isEmpty():
-        links = cut_small(links.unionByName(class_products(members, rows, bound)))
+        links = cut_small(links.unionByName(class_links(members, every.select("key", "set"), rows, bound)))
         roots = cut_small(components(links))
-    release(df.sparkSession)
+    release(spark)
     lowest = sets.where("set is not null and id is not null").groupBy("set").agg(F.min("id").alias("low"), F.count("*").alias("n_copies"))
     lowest = cut_small(lowest.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set")))
     whole = lowest.groupBy("root").agg(F.min("low").alias("component_id"))
-    classes = lowest.join(whole, "root").select("set", "component_id", "n_copies")
+    classes = lowest.join(whole, "root").select("set", "component_id", "n_copies", F.col("root").alias("class_id"))
     out = sets.join(classes, "set", "left")
-    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"), F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"))
+    return out.select(
+        F.col("id").alias("doc_id"),
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"),
+        F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"),
+        F.coalesce("class_id", "set").alias("class_id"),
+        "text_hash",
+    )

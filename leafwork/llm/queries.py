@@ -22,8 +22,8 @@ def op1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled(spark: SparkSession, sf_dir: str, label: str, folds: int, held: int) -> DataFrame:
-    """text and one label of the training rows: those outside the held-out fold, once for each id."""
-    labels = common.table(spark, sf_dir, "labels").select("doc_id", label).where(F.col(label).isin(0, 1) & (common.fold("doc_id", folds) != held)).dropDuplicates(["doc_id"])
+    """doc_id, text and label of the training rows: those outside the held-out fold."""
+    labels = common.one_label(common.table(spark, sf_dir, "labels").where(common.fold("doc_id", folds) != held), label)
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text").where(common.fold("doc_id", folds) != held)
     return docs.join(labels, "doc_id")
 

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import itertools
 import json
 import math
 import random
@@ -9,6 +10,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 from dataclasses import replace
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -165,31 +167,71 @@ def test_line_rules(spark, docs, odd, none):
 # --- 4: mixing ---------------------------------------------------------------------------------------------------
 
 
-def test_schedule_keeps_every_window_and_lag():
-    for weights in ({"a": 1, "b": 1, "c": 1}, {"a": 5, "b": 3, "c": 2}, {"a": 0.9, "b": 0.07, "c": 0.03}, {"only": 1}):
-        share = mixing.whole_weights(weights, 100)
-        slots = mixing.edf_period(share)
-        period, given = len(slots), Counter()
-        assert Counter(k for k, *_ in slots) == share
-        for t, (k, j, r, d) in enumerate(slots):
-            assert j == given[k] and r <= t < d
-            given[k] += 1
-            for s in share:
-                assert abs(given[s] - share[s] * (t + 1) / period) < 1
+def plain_edf(blocks, weights):
+    """The schedule slot by slot: of the released blocks the one with the earliest deadline, ties by weight and name."""
+    left, out, start = {k: n for k, n in blocks.items() if n}, [], 0
+    while left:
+        share = {k: Fraction(weights[k]) for k in left}
+        total, nth = sum(share.values()), Counter()
+        for slot in itertools.count():
+            windows = {k: (math.floor(nth[k] * total / share[k]), math.ceil((nth[k] + 1) * total / share[k])) for k in left}
+            k = min((k for k in left if windows[k][0] <= slot), key=lambda k: (windows[k][1], -share[k], k))
+            out.append((k, start + windows[k][0], start + windows[k][1]))
+            nth[k] += 1
+            left[k] -= 1
+            if not left[k]:
+                del left[k]
+                break
+        start = len(out)
+    return out
+
+
+def test_schedule_is_plain_earliest_deadline_first():
+    rng = random.Random(4)
+    for n in (1, 2, 3, 8):
+        for _ in range(6):
+            weights = {f"s{i}": rng.choice([1, 2.5, rng.random(), 1e-6 + rng.random() ** 4]) for i in range(n)}
+            blocks = {k: rng.randrange(0, 60) for k in weights}
+            names, plan = mixing.schedule(blocks, weights)
+            assert [(names[k], r, d) for k, r, d in zip(plan["source"], plan["release"], plan["deadline"])] == plain_edf(blocks, weights)
+
+
+def test_schedule_keeps_extreme_weights_over_many_slots():
+    weights = {"a": 1e6, "b": 1.0, "c": 333_333.3, "d": 7e-3}
+    names, plan = mixing.schedule(dict.fromkeys(weights, 100_000), weights)
+    first, total = np.array(plan["source"])[:100_000], sum(weights.values())
+    for i, k in enumerate(names):
+        assert np.abs(np.cumsum(first == i) - weights[k] / total * np.arange(1, len(first) + 1)).max() < 1
+
+
+def test_in_order_is_the_order_of_mix(spark, odd, none):
+    rng = random.Random(3)
+    rows = [(i if i % 3 else None, rng.choices(["big", "(rest)", "low", None], [60, 25, 10, 5])[0], f"x{i % 700}", i) for i in range(9000)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, slot string, stream long").repartition(5)
+    want = mixing.mix(df.select("doc_id", "source", F.col("slot").alias("s"), F.col("stream").alias("n")), documents_per_block=10).orderBy("slot", "place").collect()
+    out = mixing.in_order(df, 6, documents_per_block=10)
+    got = out.withColumn("_p", F.spark_partition_id()).collect()
+    assert out.columns == df.columns and sorted(r["stream"] for r in got) == list(range(9000))
+    assert len(set(want[i]["source"] for i in range(10))) == 1 and {r["stream"] for r in want} == {"big", "(rest)", "low", None}
+    # mix hashes the columns by value, so both make the same order.
+    assert [(r["doc_id"], r["source"], r["slot"], r["stream"]) for r in got] == [(r["doc_id"], r["source"], r["s"], r["n"]) for r in want]
+    sizes = Counter(r["_p"] for r in got)
+    assert len(sizes) >= 5 and max(sizes.values()) < 2 * 9000 / 6
+    assert sorted(map(str, mixing.in_order(odd, 3).collect())) == sorted(map(str, odd.collect())) and mixing.in_order(none, 3).count() == 0
 
 
 def test_mix(spark, odd, none):
     rng = random.Random(2)
     rows = [(i, rng.choices(["big", "mid", "low", None], [60, 25, 10, 5])[0], "x") for i in range(3000)]
     df = spark.createDataFrame(rows, "doc_id long, source string, slot string").repartition(5)
-    got = mixing.mix(df, documents_per_block=10, period=200).orderBy("slot", "place").collect()
+    got = mixing.mix(df, documents_per_block=10).orderBy("slot", "place").collect()
     assert sorted(r["doc_id"] for r in got) == list(range(3000))
     slots = {}
     for r in got:
         slots.setdefault(r["slot"], set()).add((r["stream"], r["block"]))
     assert sorted(slots) == list(range(len(slots))) and all(len(s) == 1 for s in slots.values())  # one block a slot, no gap
     assert all(r["release"] <= r["slot"] < r["deadline"] for r in got)
-    again = mixing.mix(df.repartition(2), documents_per_block=10, period=200).orderBy("slot", "place").collect()
+    again = mixing.mix(df.repartition(2), documents_per_block=10).orderBy("slot", "place").collect()
     assert [r["doc_id"] for r in got] == [r["doc_id"] for r in again]
     set_weights = mixing.mix(df, {"big": 0.5, "mid": 0.25, "low": 0.25}, documents_per_block=10).where("slot < 100").groupBy("stream").agg(F.count_distinct("slot").alias("n")).collect()
     assert {r["stream"]: r["n"] for r in set_weights}["big"] in range(30, 51)
@@ -228,12 +270,12 @@ def test_mix_keeps_the_given_weights(spark):
 def test_mix_schedules_every_source(spark):
     df = spark.createDataFrame([(i, f"s{i % 300:03d}" if i % 10 else None) for i in range(6000)], "doc_id long, source string")
     named = {f"s{i:03d}" for i in range(300) if i % 10}
-    assert {r["stream"] for r in mixing.mix(df).select("stream").distinct().collect()} == {*named, mixing.REST}
+    assert {r["stream"] for r in mixing.mix(df).select("stream").distinct().collect()} == {*named, None}
     # With 400 given weights, the last name has most of the weight: it is served from the first slots on.
     weights = {f"a{i:03d}": 1.0 for i in range(130)} | {k: 1.0 for k in named} | {"s299": 270.0}
     got = mixing.mix(df, weights, documents_per_block=2)
     assert got.count() == 6000 and got.where("stream = 's299' and slot < 16").select("slot").distinct().count() >= 7
-    assert {r["stream"] for r in got.select("stream").distinct().collect()} == {*named, mixing.REST}
+    assert {r["stream"] for r in got.select("stream").distinct().collect()} == {*named, None}
 
 
 # --- 5: fingerprints ---------------------------------------------------------------------------------------------
@@ -447,32 +489,34 @@ def near_copies():
     return rows
 
 
-@pytest.mark.parametrize("bound", [jaccard.Bound(), jaccard.Bound(5, 80, "prefix"), jaccard.Bound(3, 80, "prefix"), jaccard.Bound(3, 95)])
-@pytest.mark.parametrize("rounds, small", [(0, 0), (3, 4), (3, 64)])
-def test_jaccard_join_is_exact(spark, bound, rounds, small):
+@pytest.mark.parametrize("bound, small, left", [(jaccard.Bound(), 0, 300), (jaccard.Bound(5, 80), 32, 400_000), (jaccard.Bound(3, 80), 4, 2000), (jaccard.Bound(3, 95), 0, 400_000)])
+def test_jaccard_join_is_exact(spark, bound, small, left, monkeypatch):
+    """small = 0: all open groups are multiplied by blocks; left: of so many entries, the right ones of twice that."""
     bound = replace(bound, small=small)
+    monkeypatch.setattr(jaccard, "LEFT", left)
+    monkeypatch.setattr(jaccard, "RIGHT", 2 * left)
     rows = near_copies()
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    got = jaccard.jaccard_join(df, bound=bound, rounds=rounds).select("doc_id", "n_shingles", "component_id").collect()
+    got = jaccard.jaccard_join(df, bound=bound).select("doc_id", "n_shingles", "component_id").collect()
     assert sorted(map(tuple, got)) == plain_join(rows, bound.width, bound.share)
 
 
 def test_jaccard_keys_meet():
     """Two sets that link share a key, at every size and difference that the bound allows."""
     rng = np.random.default_rng(3)
-    for bound in (jaccard.Bound(), jaccard.Bound(3, 95), jaccard.Bound(3, 80, "prefix")):
+    for bound in (jaccard.Bound(), jaccard.Bound(3, 95), jaccard.Bound(3, 80)):
         for n in (5, 9, 10, 11, 14, 15, 19, 20, 37, 99, 150, 400):
             for _ in range(12):
-                s = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+                s = np.unique(rng.integers(0, 2**63, n).astype(np.int64))
                 away, extra = int(rng.integers(0, 1 + n // 9)), int(rng.integers(0, 1 + n // 9))
-                t = np.unique(np.concatenate([rng.permutation(s)[away:], rng.integers(0, 2**63, extra).astype(np.uint64)]))
+                t = np.unique(np.concatenate([rng.permutation(s)[away:], rng.integers(0, 2**63, extra).astype(np.int64)]))
                 overlap = len(np.intersect1d(s, t))
                 if bound.holds(np.array([overlap]), len(s), np.array([len(t)]))[0] and overlap < max(len(s), len(t)):
                     shared = np.intersect1d(bound.keys(s), bound.keys(t)).size
                     assert shared
-                    if bound.columns == "prefix":
-                        least = -(-bound.share * (len(s) + len(t)) // (100 + bound.share))
-                        assert shared >= min(least + 1 - -(-bound.share * len(x) // 100) for x in (s, t))
+                    least = -(-bound.share * (len(s) + len(t)) // (100 + bound.share))
+                    assert shared >= min(least + 1 - -(-bound.share * len(x) // 100) for x in (s, t))
+                    assert bound.may_hold(np.array([shared]), len(s), np.array([len(t)]))[0]
 
 
 def test_jaccard_edges(spark, odd, none):
