@@ -7,10 +7,9 @@ tokens. All but the last return the columns of `documents`.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leafwork.llm import common, jaccard, mixing, pieces, quality, secrets
@@ -18,40 +17,52 @@ from leafwork.llm.queries import tokenizer_path
 
 MASK = "[secret]"
 #: Near copies: sets of five-word shingles with a Jaccard similarity of 0.8 or more.
-NEAR = jaccard.Bound(width=5, share=80, columns="prefix", small=32)
+NEAR = jaccard.Bound(width=5, share=80, small=32)
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on the labelled ones outside its held-out fold, predicts as good."""
+    """Documents that the classifier, fitted on the labelled ones outside its held-out fold, predicts as good.
+
+    A null text counts as empty. Columns of docs keep their values, whatever their names; repeated rows are rows of
+    their own.
+    """
     train = common.fold("doc_id", 4) != 2
-    labels = common.table(spark, sf_dir, "labels").where(F.col("quality").isin(0, 1) & train).select("doc_id", "quality").dropDuplicates(["doc_id"])
+    labels = common.one_label(common.table(spark, sf_dir, "labels").where(train), "quality")
     network = quality.fit_quality(docs.where(train).select("doc_id", "text").join(labels, "doc_id"))
-    return quality.score_quality(docs, network).where("predicted = 1").select(*docs.columns)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return quality.score_quality(docs.select(row, "text"), network).where("predicted = 1").select("row.*")
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies; of repeated rows one. Rows without id stay."""
-    classes = jaccard.jaccard_join(docs, bound=NEAR).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(classes, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    """The row with the smallest id of each group of near copies; of rows with one id in a group the one whose text
+    has the smallest hash, of rows with one id and text the first by their columns. Texts without words are copies of
+    nothing, so one row for each id and text stays. All rows without id stay."""
+    found = jaccard.jaccard_join(docs.select("doc_id", "text"), bound=NEAR).where("doc_id is not null")
+    own = F.coalesce("class_id", F.xxhash64("doc_id", "text_hash"))
+    kept = found.groupBy("class_id", own.alias("_own")).agg(F.min(F.struct("doc_id", "text_hash")).alias("_k")).select("_k.*")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), row.alias("row"))
+    first = F.row_number().over(Window.partitionBy("doc_id", "text_hash").orderBy("row"))
+    rows = rows.where("doc_id is not null").join(kept, ["doc_id", "text_hash"], "left_semi").withColumn("_first", first).where("_first = 1")
+    return rows.select("row.*").unionByName(docs.where("doc_id is null"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with the secrets in their texts masked and n_chars to match."""
     common.small_batches(spark)
-    found = secrets.scan_secrets(docs, mask=MASK)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    found = secrets.scan_secrets(docs.select(row, "text"), mask=MASK)
     changed = F.col("n_spans") > 0
-    values = {"text": F.when(changed, F.col("masked")).otherwise(F.col("text")), "n_chars": F.when(changed, F.char_length("masked").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars"))}
-    return found.select(*[values[c].alias(c) if c in values else F.col(f"`{c}`") for c in docs.columns])
+    values = {"text": F.when(changed, F.col("masked")).otherwise(F.col("row.text")), "n_chars": F.when(changed, F.char_length("masked").cast(dict(docs.dtypes).get("n_chars", "long"))).otherwise(F.col("row.n_chars")) if "n_chars" in docs.columns else None}
+    return found.select(*[values[c].alias(c) if c in values else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, ordered by the schedule: any stretch of rows has the sources in their weights' proportion."""
-    order = mixing.mix(docs.select("doc_id", "source")).select("doc_id", "slot", "place").dropDuplicates(["doc_id"])
-    # Texts are moved once: to the ranges of slots in which they are written.
-    mixed = docs.join(order, docs["doc_id"].eqNullSafe(order["doc_id"])).drop(order["doc_id"])
-    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return mixed.repartitionByRange(n, "slot", "place").sortWithinPartitions("slot", "place").select(*docs.columns)
+    """All documents, ordered by the schedule: any stretch of rows has the sources in their weights' proportion.
+
+    Repeated rows, null ids and columns of any name stay as they are; a null source is a source of its own.
+    """
+    return mixing.in_order(docs, max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,7 +81,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A result is deleted when the next one is written; the last one stays, as the returned rows are read from it.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="leafwork-")
+    folder = common.shared_folder(spark)
     docs, before = common.table(spark, sf_dir, "documents"), None
     for k, (_, stage) in enumerate(STAGES):
         path = f"{folder}/pipeline-{uuid.uuid4().hex}-{k}"
