@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+from functools import partial
 
 from pyspark.sql import SparkSession
 
@@ -11,6 +12,10 @@ from leafwork.plans import convert as plans
 from leafwork.sources.corpus import Config
 
 
+#: Used where the setting `adapters` (pdf, ocr, figures, captions: module:name) names nothing; they refuse real PDF files.
+STAND_INS = {"pdf": adapters.TextPdf, "ocr": adapters.TextRecogniser, "figures": adapters.TextRecogniser, "captions": None}
+
+
 def main(args: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="leafwork")
     sub = p.add_subparsers(dest="command", required=True)
@@ -32,7 +37,11 @@ def main(args: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("leafwork").getOrCreate()
     if a.command == "convert":
         config = Config.load(a.config, output_dir=a.output_dir, start_from=a.start_from, file_list=a.file_list)
-        result = plans.convert(spark, config, adapters.TextPdf, adapters.TextRecogniser, figures=adapters.TextRecogniser)
+        stages, named = config.stages(), config.other.get("adapters") or {}
+        made = {k: adapters.named_factory(named[k]) if k in named else f for k, f in STAND_INS.items()}
+        if stages["picture_description_model"] and "captions" not in named:
+            made["captions"] = partial(adapters.ChatCaptioner, stages["picture_description_base_url"], stages["picture_description_model"])
+        result = plans.convert(spark, config, made["pdf"], made["ocr"], config.other.get("cache_dir"), made["figures"], made.get("captions"))
     elif a.command == "backfill":
         base, name = (a.report_dir.rstrip("/").rsplit("/", 1) if a.report_dir else (a.dir, None))
         result = plans.backfill(spark, base, a.subfolders and not name, a.dry_run)

@@ -16,6 +16,7 @@ from pyspark.sql.types import DoubleType, StringType
 # Python's white space and line breaks, as Java regular expressions.
 WS_CHARS = r"\t-\r\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 WS = f"[{WS_CHARS}]"
+WS_LIST = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 LINE_BREAK = r"\r\n|[\n\r\x0B\x0C\x1C\x1D\x1E\x85\u2028\u2029]"
 HEADING = rf"(?s)^(#{{1,6}}){WS}+(.+)\z"
 PAGE_MARK = rf"^==={WS}*Page{WS}+(\p{{Nd}}+){WS}*===\z"
@@ -25,7 +26,7 @@ MD_ESCAPED = r"\\([_*`\[\]()#+\-.!|])"
 
 def strip(c: Column) -> Column:
     """str.strip: white space of all kinds off both ends."""
-    return F.regexp_replace(c, rf"^{WS}+|{WS}+\z", "")
+    return F.btrim(c, F.lit(WS_LIST))
 
 
 def is_blank(c: Column) -> Column:

@@ -6,12 +6,17 @@ fakes are deterministic and need no library; they serve tests and dry runs.
 
 from __future__ import annotations
 
+import base64
+import importlib
+import json
+import urllib.request
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
+DEFAULT_PROMPT = "Describe this figure in one to three sentences."
 ITEMS = "doc string, item_no int, label string, level int, text string, page_no int, l double, t double, r double, b double, origin string"
 CELLS = "doc string, page_no int, rect_no int, idx int, text string, confidence double, l double, t double, r double, b double"
 RECOGNISED = "doc string, chunk_start int, kind string, item_no int, label string, level int, text string, page_no int, rect_no int, idx int, confidence double, l double, t double, r double, b double, origin string, error string"
@@ -46,10 +51,34 @@ class CaptionAdapter(Protocol):
     def caption(self, image: bytes, prompt: str | None, timeout: float) -> str | None: ...
 
 
+class ChatCaptioner:
+    """Captions from a server with a chat-completions interface: <base_url>/v1/chat/completions."""
+
+    def __init__(self, base_url: str, model: str) -> None:
+        self.url, self.model = base_url.rstrip("/") + "/v1/chat/completions", model
+
+    def caption(self, image: bytes, prompt: str | None, timeout: float) -> str | None:
+        picture = {"type": "image_url", "image_url": {"url": "data:image/png;base64," + base64.b64encode(image).decode()}}
+        said = {"model": self.model, "messages": [{"role": "user", "content": [{"type": "text", "text": prompt or DEFAULT_PROMPT}, picture]}]}
+        call = urllib.request.Request(self.url, json.dumps(said).encode(), {"Content-Type": "application/json"})
+        with urllib.request.urlopen(call, timeout=timeout) as answer:
+            return json.load(answer)["choices"][0]["message"]["content"]
+
+
+def named_factory(name: str) -> Callable[[], object]:
+    """The factory that `module:name` names, as settings give it."""
+    module, _, attribute = name.partition(":")
+    if not attribute:
+        raise ValueError(f"not module:name: {name}")
+    return getattr(importlib.import_module(module), attribute)
+
+
 class TextPdf:
     """A stand-in for PDF files: pages are texts with form feeds between."""
 
     def page_count(self, content: bytes) -> int:
+        if content.startswith(b"%PDF"):
+            raise ValueError("a real PDF file: name an adapter for PDF in the configuration")
         return len(content.split(b"\f")) if content else 0
 
     def split(self, content: bytes, start: int, end: int) -> bytes:
@@ -142,24 +171,29 @@ def recognise(chunks: DataFrame, factory: Callable[[], OcrLayoutAdapter], do_ocr
 
 
 def extract_figures(chunks: DataFrame, factory: Callable[[], FigureAdapter], scale: float) -> DataFrame:
-    """doc, chunk_start, pic_no, page_no, bbox, image, predictions of (doc, chunk_start, content); a failing chunk gives none."""
-    columns = ["doc", "chunk_start", "pic_no", "page_no", "bbox", "image", "predictions"]
+    """doc, chunk_start, pic_no, page_no, bbox, image, predictions, error of (doc, chunk_start, content); a failing chunk
+    gives one row with an error and nothing else."""
+    columns = ["doc", "chunk_start", "pic_no", "page_no", "bbox", "image", "predictions", "error"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         engine = factory()
         for b in batches:
             for doc, start, content in zip(b["doc"], b["chunk_start"], b["content"]):
                 try:
-                    rows = [[doc, int(start), r["pic_no"], r["page_no"], r["bbox"], r["image"], [{"class_name": c, "confidence": float(x)} for c, x in r["predictions"]]] for r in engine.figures(doc, bytes(content), scale)]
-                except Exception:
-                    rows = []
+                    found = list(engine.figures(doc, bytes(content), scale))
+                    classes = [[{"class_name": c, "confidence": float(x)} for c, x in r["predictions"]] for r in found]
+                    rows = [[doc, int(start), *(r[c] for c in columns[2:6]), p, None] for r, p in zip(found, classes)]
+                except Exception as e:
+                    rows = [[doc, int(start), *[None] * 5, repr(e)]]
                 yield frame(rows, columns)
 
-    return chunks.select("doc", "chunk_start", "content").mapInPandas(run, "doc string, chunk_start int, pic_no int, page_no int, bbox array<double>, image binary, predictions array<struct<class_name:string,confidence:double>>")
+    kinds = "doc string, chunk_start int, pic_no int, page_no int, bbox array<double>, image binary, predictions array<struct<class_name:string,confidence:double>>, error string"
+    return chunks.select("doc", "chunk_start", "content").mapInPandas(run, kinds)
 
 
 def overlaid(docs: DataFrame, factory: Callable[[], PdfAdapter]) -> DataFrame:
-    """doc, data: the PDF bytes of (doc, content, commands) with invisible text put on; the file as it was if that fails."""
+    """doc, data, error: the PDF bytes of (doc, content, commands) with invisible text put on; null and the error if
+    that fails."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pdf = factory()
@@ -167,12 +201,12 @@ def overlaid(docs: DataFrame, factory: Callable[[], PdfAdapter]) -> DataFrame:
             rows = []
             for doc, content, commands in zip(b["doc"], b["content"], b["commands"]):
                 try:
-                    rows.append((doc, pdf.overlay(bytes(content), [dict(c) for c in (commands if commands is not None else [])])))
-                except Exception:
-                    rows.append((doc, bytes(content)))
-            yield frame(rows, ["doc", "data"])
+                    rows.append((doc, pdf.overlay(bytes(content), [dict(c) for c in (commands if commands is not None else [])]), None))
+                except Exception as e:
+                    rows.append((doc, None, repr(e)))
+            yield frame(rows, ["doc", "data", "error"])
 
-    return docs.select("doc", "content", "commands").mapInPandas(run, "doc string, data binary")
+    return docs.select("doc", "content", "commands").mapInPandas(run, "doc string, data binary, error string")
 
 
 def captions(figures: DataFrame, factory: Callable[[], CaptionAdapter], prompt: str | None, timeout: float) -> DataFrame:

@@ -59,8 +59,8 @@ def reject_collisions(df: DataFrame, key: str = "report_stem") -> DataFrame:
     return df.join(n, key).withColumn("collides", F.col("_n") > 1).drop("_n")
 
 
-def list_files(spark: SparkSession, pattern: str, name_glob: str | None = None, recursive: bool = False) -> DataFrame:
-    """path, stem, parent of the files of a glob; an empty table where nothing matches."""
+def read_files(spark: SparkSession, pattern: str, name_glob: str | None = None, recursive: bool = False) -> DataFrame:
+    """path, stem, parent, content of the files of a glob; an empty table where nothing matches."""
     reader = spark.read.format("binaryFile")
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
@@ -71,9 +71,34 @@ def list_files(spark: SparkSession, pattern: str, name_glob: str | None = None,
     except Exception as e:  # Spark reports a glob without matches as an error
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        df = spark.createDataFrame([], "path string")
+        df = spark.createDataFrame([], "path string, content binary")
     parts = F.split("path", "/")
-    return df.select("path", file_stem(F.col("path")).alias("stem"), F.element_at(parts, -2).alias("parent"))
+    return df.select("path", file_stem(F.col("path")).alias("stem"), F.element_at(parts, -2).alias("parent"), "content")
+
+
+def list_files(spark: SparkSession, pattern: str, name_glob: str | None = None, recursive: bool = False) -> DataFrame:
+    """path, stem, parent of the files of a glob; their contents are not read."""
+    return read_files(spark, pattern, name_glob, recursive).drop("content")
+
+
+def kind_of(spark: SparkSession, path: str) -> str | None:
+    """`file` or `folder` on whatever file system it is; None where there is neither."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(where):
+        return None
+    return "folder" if system.getFileStatus(where).isDirectory() else "file"
+
+
+def read_pdfs(spark: SparkSession, pdf_input: str, from_ocr_pdf: bool = False) -> DataFrame:
+    """path and content of the files that list_pdfs may name."""
+    if kind_of(spark, pdf_input) == "file":
+        found = read_files(spark, pdf_input)
+    elif from_ocr_pdf:
+        found = read_files(spark, f"{pdf_input}/*/*_ocr.pdf").unionByName(read_files(spark, pdf_input, "*.pdf"))
+    else:
+        found = read_files(spark, pdf_input, "*.pdf")
+    return found.select("path", "content")
 
 
 def list_pdfs(spark: SparkSession, pdf_input: str, start: str | None = None, file_list: list[str] | None = None, from_ocr_pdf: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -83,9 +108,10 @@ def list_pdfs(spark: SparkSession, pdf_input: str, start: str | None = None, fil
     */*_ocr.pdf, and that over the start. Neither a .pdf file nor a folder is an error.
     """
     none = spark.createDataFrame([], "stem string, list_pos int")
-    if os.path.isfile(pdf_input) and pdf_input.lower().endswith(".pdf"):
+    kind = kind_of(spark, pdf_input)
+    if kind == "file" and pdf_input.lower().endswith(".pdf"):
         return list_files(spark, pdf_input).select("path", "stem", F.lit(0).alias("list_pos")), none
-    if not os.path.isdir(pdf_input):
+    if kind != "folder":
         raise ValueError(f"neither a .pdf file nor a folder: {pdf_input}")
     if file_list is not None:
         names = spark.createDataFrame([(i, n) for i, n in enumerate(file_list)], "list_pos int, name string")
@@ -106,11 +132,25 @@ def list_reports(spark: SparkSession, base: str, subfolders: bool = False) -> Da
     return found.orderBy("dir")
 
 
-def read_pages(spark: SparkSession, pattern: str) -> DataFrame:
-    """doc and the page columns from page files; doc is the folder's name."""
-    df = spark.read.schema(PAGE_SCHEMA).json(pattern, multiLine=True)
-    path = F.col("_metadata.file_path")
-    return df.select(F.url_decode(F.replace(F.element_at(F.split(path, "/"), -2), F.lit("+"), F.lit("%2B"))).alias("doc"), "page_index", "image_path", F.coalesce("text_lines", F.array()).alias("text_lines"), "full_text")
+def read_pages(spark: SparkSession, pattern: str, *more: str) -> DataFrame:
+    """doc and the page columns from page files; doc is the folder's name. more: `dir` for the folder's path too."""
+    try:
+        df = spark.read.schema(PAGE_SCHEMA).json(pattern, multiLine=True).withColumn("_path", F.col("_metadata.file_path"))
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        df = spark.createDataFrame([], f"{PAGE_SCHEMA}, _path string")
+    path = F.url_decode(F.replace("_path", F.lit("+"), F.lit("%2B")))
+    folder = F.regexp_replace(F.regexp_replace(path, "/[^/]*$", ""), "^file:/+", "file:/")
+    df = df.withColumns({"dir": folder, "doc": F.element_at(F.split(folder, "/"), -1)})
+    return df.select("doc", *more, "page_index", "image_path", F.coalesce("text_lines", F.array()).alias("text_lines"), "full_text")
+
+
+def read_heading_counts(spark: SparkSession, pattern: str) -> DataFrame:
+    """doc, n_headings of heading files; 0 where the file is not JSON or has no such number."""
+    files = read_files(spark, pattern)
+    text = decode_lossy(F.col("content"))
+    return files.select(F.col("parent").alias("doc"), F.coalesce(F.get_json_object(text, "$.n_headings").try_cast("int"), F.lit(0)).alias("n_headings"))
 
 
 def read_texts(spark: SparkSession, base: str, name: str = "text_docling.txt", lossy: bool = True) -> DataFrame:

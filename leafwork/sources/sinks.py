@@ -8,9 +8,12 @@ from __future__ import annotations
 
 import json
 import os
+import re
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,25 +33,27 @@ def document_records(pages: DataFrame, texts: DataFrame, headings: DataFrame, ma
 
 
 def _put(path: str, data: str | bytes) -> None:
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    temp = f"{path}.{os.getpid()}.tmp"
-    with open(temp, "wb") as f:
+    """Writes a file under a temporary name and moves it into place, on any file system that Arrow knows."""
+    system, name = fs.FileSystem.from_uri(path) if re.match("[a-z][a-z0-9+.-]*:/", path) else (fs.LocalFileSystem(), os.path.abspath(path))
+    system.create_dir(name.rsplit("/", 1)[0], recursive=True)
+    temp = f"{name}.{uuid.uuid4().hex}.tmp"
+    with system.open_output_stream(temp, compression=None) as f:
         f.write(data.encode() if isinstance(data, str) else data)
-    os.replace(temp, path)
+    system.move(temp, name)
 
 
 def write_folders(records: DataFrame, output_dir: str, markdown_dir: str | None = None) -> DataFrame:
     """Writes the files of each record of document_records below output_dir, a path that all executors share.
 
-    Returns doc, status (written or the error), n_pages; the write happens when the result is first used, so it is
-    cut off there: callers write or collect it once.
+    Returns doc, status (written or the error), n_pages. The write happens each time the result is used: callers cut
+    it off once.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
             for r in b.to_dict("records"):
-                doc, folder = r["doc"], os.path.join(output_dir, r["doc"])
+                doc, folder = r["doc"], f"{output_dir}/{r['doc']}"
                 pages = [
                     {"page_index": int(p["page_index"]), "image_path": p["image_path"], "text_lines": [{"text": x["text"], "confidence": float(x["confidence"]), "bbox": [float(v) for v in x["bbox"]]} for x in p["text_lines"]], "full_text": p["full_text"]}
                     for p in (r["pages"] if r["pages"] is not None else [])
@@ -71,12 +76,17 @@ def write_folders(records: DataFrame, output_dir: str, markdown_dir: str | None
 
 
 def write_files(files: DataFrame, output_dir: str) -> DataFrame:
-    """Writes data to output_dir/<doc>/<name> for each (doc, name, data); returns doc, name, status."""
+    """Writes data to output_dir/<doc>/<name> for each (doc, name, data); returns doc, name, status: written, or the
+    error of the write or, where there is such a column, of the row."""
+    files = files if "error" in files.columns else files.withColumn("error", F.lit(None).cast("string"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for doc, name, data in zip(b["doc"], b["name"], b["data"]):
+            for doc, name, data, error in zip(b["doc"], b["name"], b["data"], b["error"]):
+                if error is not None:
+                    rows.append((doc, name, error))
+                    continue
                 try:
                     _put(f"{output_dir}/{doc}/{name}", bytes(data))
                     rows.append((doc, name, "written"))
@@ -84,7 +94,7 @@ def write_files(files: DataFrame, output_dir: str) -> DataFrame:
                     rows.append((doc, name, repr(e)))
             yield pd.DataFrame(rows, columns=["doc", "name", "status"], dtype=object)
 
-    return files.select("doc", "name", "data").mapInPandas(run, "doc string, name string, status string")
+    return files.select("doc", "name", "data", "error").mapInPandas(run, "doc string, name string, status string")
 
 
 def write_manifests(manifests: DataFrame, output_dir: str) -> DataFrame:
@@ -92,8 +102,13 @@ def write_manifests(manifests: DataFrame, output_dir: str) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
+            rows = []
             for doc, text in zip(b["doc"], b["json"]):
-                _put(f"{output_dir}/{doc}/figures/figures.json", json.dumps(json.loads(text), ensure_ascii=False, indent=2))
-            yield pd.DataFrame([(d, "written") for d in b["doc"]], columns=["doc", "status"], dtype=object)
+                try:
+                    _put(f"{output_dir}/{doc}/figures/figures.json", json.dumps(json.loads(text), ensure_ascii=False, indent=2))
+                    rows.append((doc, "written"))
+                except OSError as e:
+                    rows.append((doc, repr(e)))
+            yield pd.DataFrame(rows, columns=["doc", "status"], dtype=object)
 
     return manifests.select("doc", "json").mapInPandas(run, "doc string, status string")

@@ -1,8 +1,13 @@
 """Hand-built cases (FIXTURES.md, section 3) and Python as the measure for text semantics."""
 
+import functools
 import json
 import random
 import re
+import threading
+import uuid
+from http.server import BaseHTTPRequestHandler, HTTPServer
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -169,6 +174,98 @@ def test_convert_resume_and_chunks(spark, tmp_path):
     assert rows.where("doc = 'alpha'").count() == 3
 
 
+class CountingRecogniser(adapters.TextRecogniser):
+    """Leaves a file for each call, and fails on pages with the word poison."""
+
+    def __init__(self, folder):
+        self.folder = folder
+
+    def recognise(self, doc, content):
+        (Path(self.folder) / uuid.uuid4().hex).write_text(doc)
+        if b"poison" in content:
+            raise ValueError("cannot read this")
+        return super().recognise(doc, content)
+
+
+class BrokenFigures:
+    def figures(self, doc, content, scale):
+        if doc == "a":
+            raise ValueError("no figures")
+        return iter(())
+
+
+class BrokenOverlay(adapters.TextPdf):
+    def overlay(self, content, commands):
+        if b"first" in content:
+            raise ValueError("no overlay")
+        return content
+
+
+@pytest.mark.parametrize("chunk_size", [None, 1])
+def test_convert_reports_failed_recognition(spark, tmp_path, chunk_size):
+    src = tmp_path / "pdfs"
+    src.mkdir()
+    (tmp_path / "calls").mkdir()
+    (src / "a.pdf").write_text("first\fsecond")
+    (src / "bad.pdf").write_text("fine\fpoison\ffine")
+    (src / "real.pdf").write_bytes(b"%PDF-1.7")
+    names = tmp_path / "names.txt"
+    names.write_text("a\nbad\nreal\nlost\n")
+    config = corpus.Config(pdf_input=str(src), output_dir=str(tmp_path / "o"), chunk_size=chunk_size, file_list=str(names))
+    factory = functools.partial(CountingRecogniser, str(tmp_path / "calls"))
+    got = {r["doc"]: r["status"] for r in convert.convert(spark, config, adapters.TextPdf, factory).collect()}
+    assert got["a"] == "written" and "cannot read" in got["bad"] and "real PDF" in got["real"] and got["lost"] == "not found" and len(got) == 4
+    assert not (tmp_path / "o/bad").exists() and (tmp_path / "o/a/ocr_docling.json").exists()
+    assert len(list((tmp_path / "calls").iterdir())) == (5 if chunk_size else 2)  # each chunk is recognised once
+    (src / "bad.pdf").write_text("fine\fcured\ffine")
+    config.skip_existing, config.file_list = True, None
+    got = {r["doc"]: r["status"] for r in convert.convert(spark, config, adapters.TextPdf, factory).collect()}
+    assert got["bad"] == "written" and "a" not in got
+
+
+def test_convert_reports_failed_figures_and_files(spark, tmp_path):
+    src = tmp_path / "pdfs"
+    src.mkdir()
+    (src / "a.pdf").write_text("text")
+    (src / "b.pdf").write_text("text")
+    (src / "c.pdf").write_text("first")
+    config = corpus.Config(pdf_input=str(src), output_dir=str(tmp_path / "o"), docling={"extract_figures": True})
+    got = {r["doc"]: r["status"] for r in convert.convert(spark, config, BrokenOverlay, adapters.TextRecogniser, None, BrokenFigures).collect()}
+    assert "no figures" in got["a"] and got["b"] == "written" and "no overlay" in got["c"]
+    assert [p.parent.name for p in (tmp_path / "o").glob("*/ocr_docling.json")] == ["b"]
+
+
+def test_heading_counts_are_read_back(spark, tmp_path):
+    for name, text in (("x", '{"n_headings": 3}'), ("y", "not json"), ("z", '{"headings": []}')):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "headings.json").write_text(text)
+    got = {r["doc"]: r["n_headings"] for r in corpus.read_heading_counts(spark, str(tmp_path / "*/headings.json")).collect()}
+    assert got == {"x": 3, "y": 0, "z": 0}
+
+
+def test_captions_over_http():
+    seen = []
+
+    class Answer(BaseHTTPRequestHandler):
+        def do_POST(self):
+            seen.append((self.path, json.loads(self.rfile.read(int(self.headers["Content-Length"])))))
+            body = json.dumps({"choices": [{"message": {"content": "a map"}}]}).encode()
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *args):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Answer)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    engine = adapters.named_factory("leafwork.operators.adapters:ChatCaptioner")(f"http://127.0.0.1:{server.server_port}/", "m")
+    assert engine.caption(b"png", "see", 5.0) == "a map"
+    server.shutdown()
+    path, said = seen[0]
+    assert path == "/v1/chat/completions" and said["model"] == "m" and said["messages"][0]["content"][0]["text"] == "see"
+
+
 class Captioner:
     def caption(self, image, prompt, timeout):
         return f"{prompt}: {image.decode()}"
