@@ -18,10 +18,10 @@ from leafwork.llm.common import cut
 SPACE = "[\\x20\\x09-\\x0D]+"
 BLANKS = " \t\n\x0b\f\r"
 SYMBOL = "[#*$%&|<>]"
-#: Bits for a window's place: texts of up to 16 million words.
-PLACE_BITS = 24
 #: At most this many (host, line) pairs can each hold more than the same share of all lines.
 HEAVY = 4096
+#: So many hosts are broadcast; with more, Spark joins by host.
+MOST_HOSTS = 100_000
 
 
 def _words(text: Column) -> Column:
@@ -43,20 +43,13 @@ def with_base_rules(df: DataFrame, text_col: str = "text") -> DataFrame:
     window = lambda i: F.xxhash64(*[F.get("_w", i + k) for k in range(3)])
     df = df.withColumn("_h", F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), window)).otherwise(F.array().cast("array<bigint>")))
     df = df.withColumn("_some", F.size(F.array_distinct("_h")) < F.size("_h"))
-    # Only where a window is repeated are the windows sorted, each with its place in the low bits, so that equal ones
-    # are neighbours; neighbours with equal hash bits are compared word by word.
-    place = lambda v: v.bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int")
-    packed = F.transform("_h", lambda h, i: h.bitwiseAND(F.lit(-(1 << PLACE_BITS))).bitwiseOR(i.cast("bigint")))
-    df = df.withColumn("_sorted", F.when(F.col("_some"), F.sort_array(packed)))
-
-    def equal(v: Column, other: Column) -> Column:
-        same = F.shiftrightunsigned(v.bitwiseXOR(other), PLACE_BITS) == 0
-        for k in range(3):
-            same = same & (F.get("_w", place(v) + k) == F.get("_w", place(other) + k))
-        return same
-
-    twice = F.filter("_sorted", lambda v, j: F.coalesce(equal(v, F.get("_sorted", j - 1)), F.lit(False)) | F.coalesce(equal(v, F.get("_sorted", j + 1)), F.lit(False)))
-    df = df.withColumn("_at", F.sort_array(F.transform(twice, place)))
+    # Only where a hash is repeated are the windows sorted, by hash, words and place, so that equal ones are neighbours.
+    entry = lambda h, i: F.struct(h.alias("h"), *[F.get("_w", i + k).alias(f"w{k}") for k in range(3)], i.alias("i"))
+    df = df.withColumn("_sorted", F.when(F.col("_some"), F.sort_array(F.transform("_h", entry))))
+    equal = lambda v, other: (v["h"] == other["h"]) & (v["w0"] == other["w0"]) & (v["w1"] == other["w1"]) & (v["w2"] == other["w2"])
+    near = lambda v, j: F.coalesce(equal(v, F.get("_sorted", j)), F.lit(False))
+    twice = F.filter("_sorted", lambda v, j: near(v, j - 1) | near(v, j + 1))
+    df = df.withColumn("_at", F.sort_array(F.transform(twice, lambda v: v["i"])))
     covered = F.aggregate("_at", F.struct(F.lit(0).alias("n"), F.lit(-1).alias("upto")), lambda a, i: F.struct((a["n"] + i + 3 - F.greatest(i, a["upto"])).alias("n"), (i + 3).alias("upto")), lambda a: a["n"])
     df = df.withColumns(
         {
@@ -75,22 +68,28 @@ def filter_by_lines(df: DataFrame, key: str = "doc_id", host: str = "source", te
 
     A line is above the limit if it is in more distinct documents of its host than least_documents and than
     host_share of the host's documents. kept is false where the base rules fail or fewer than least_kept of the
-    words remain. Documents with the same key and text count as one for frequencies; all rows are returned. A null
-    host is a host of its own, a null key a key of its own.
+    words remain. Rows with the same key, host and text count as one document for frequencies; each of them is returned
+    with the same values. A null host is a host of its own, a null key a key of its own.
     """
     base = with_base_rules(df.select(F.col(key).alias("_key"), F.col(host).alias("_host"), F.col(text_col).alias("_text")), "_text")
     base = base.withColumn("_id", F.xxhash64("_key", "_host", "_text"))
     base_cols = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
 
     plain = df.select(F.col(key).alias("_key"), F.col(host).alias("_host"), F.col(text_col).alias("_text")).withColumn("_id", F.xxhash64("_key", "_host", "_text"))
-    hosts = plain.groupBy("_host").agg(F.count("*").alias("_docs"))
+    hosts = cut(plain.groupBy("_host").agg(F.count("*").alias("_docs")))
     line = F.regexp_replace(F.lower(F.btrim("_l", F.lit(BLANKS))), SPACE, " ")
-    rows = plain.select("_id", "_host", F.explode(F.split(F.coalesce("_text", F.lit("")), "\n")).alias("_l"))
-    rows = rows.withColumn("_n", line).where("_n <> ''").select("_id", F.xxhash64("_host").alias("_h"), F.xxhash64("_host", "_n").alias("_line"), F.size(F.split("_n", " ")).alias("_words"))
+    # The null line of each row, which is no line, counts how many rows have the same id.
+    lines = F.concat(F.array(F.lit(None).cast("string")), F.split(F.coalesce("_text", F.lit("")), "\n"))
+    rows = plain.select("_id", "_host", F.explode(lines).alias("_l")).withColumn("_n", line).where("_n is null or _n <> ''")
+    known = F.when(F.col("_n").isNotNull(), F.xxhash64("_host", "_n")).alias("_line")
+    rows = rows.select("_id", F.xxhash64("_host").alias("_h"), known, F.coalesce(F.size(F.split("_n", " ")), F.lit(0)).alias("_words"))
     # A line's places in one document are one row; what is left is one row for each document and line.
-    rows = rows.groupBy("_id", "_h", "_line").agg(F.sum("_words").alias("_words"), F.count("*").alias("_times"))
-    rows = cut(rows)
+    rows = cut(rows.groupBy("_id", "_h", "_line").agg(F.sum("_words").alias("_words"), F.count("*").alias("_times")))
     limit = hosts.select(F.xxhash64("_host").alias("_h"), F.greatest(F.lit(float(least_documents)), F.col("_docs") * host_share).alias("_limit"))
+    if hosts.count() <= MOST_HOSTS:
+        limit = F.broadcast(limit)
+    copies = rows.where("_line is null").select("_id", F.lit(0).cast("long").alias("_words"), F.lit(0).cast("long").alias("_times"), F.col("_times").alias("_copies"))
+    rows = rows.where("_line is not null")
     frequent = rows.groupBy("_h", "_line").agg(F.count("*").alias("_docs")).where(F.col("_docs") > least_documents)
     frequent = frequent.join(limit, "_h").where("_docs > _limit").select("_line", "_docs")
     total = rows.count()
@@ -98,10 +97,10 @@ def filter_by_lines(df: DataFrame, key: str = "doc_id", host: str = "source", te
     frequent = cut(frequent)
     top = F.broadcast(frequent.where(heavy).select("_line", F.lit(True).alias("_top")))
     flagged = rows.join(top, "_line", "left")
-    found = flagged.where("_top").select("_id", "_words", "_times").unionByName(
-        flagged.where("_top is null").join(frequent.where(~heavy).select("_line"), "_line").select("_id", "_words", "_times")
-    )
-    removed = found.groupBy("_id").agg(F.sum("_words").alias("removed_words"), F.sum("_times").alias("n_removed_lines"))
+    rare = flagged.where("_top is null").join(frequent.where(~heavy).select("_line"), "_line")
+    found = [x.select("_id", "_words", "_times", F.lit(None).cast("long").alias("_copies")) for x in (flagged.where("_top"), rare)]
+    removed = found[0].unionByName(found[1]).unionByName(copies).groupBy("_id")
+    removed = removed.agg(*[F.floor(F.sum(c) / F.max("_copies")).alias(a) for c, a in (("_words", "removed_words"), ("_times", "n_removed_lines"))])
     out = base.drop("_text").join(removed, "_id", "left").withColumns({c: F.coalesce(c, F.lit(0).cast("long")) for c in ("removed_words", "n_removed_lines")})
     depleted = F.col("n_words") - F.col("removed_words") < F.col("n_words") * least_kept
     return out.select(F.col("_key").alias(key), *base_cols, "removed_words", "n_removed_lines", (~F.col("base_failed") & ~depleted).alias("kept"))
