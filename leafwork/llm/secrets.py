@@ -94,7 +94,11 @@ def is_der_key(data: bytes) -> bool:
         return True  # an elliptic-curve private key
     if tags[:3] == [0x02, 0x30, 0x04] or tags[:2] == [0x30, 0x03] or tags[:2] == [0x30, 0x04]:  # with an algorithm's identifier
         algorithm = der_items(parts[tags.index(0x30)][1])
-        return bool(algorithm) and algorithm[0][0] == 0x06
+        if not algorithm or algorithm[0][0] != 0x06:
+            return False
+        if tags[0] == 0x02:  # the octet string holds the private key, whose lengths must add up too
+            return bool(der_items(parts[2][1]))
+        return tags[1] == 0x04 or len(parts[1][1]) > 1 and parts[1][1][0] < 8  # a bit string begins with its unused bits
     return tags == [0x02, 0x02] and len(parts[0][1]) >= 64  # an RSA public key
 
 
@@ -134,10 +138,11 @@ def is_pem_key(label: str, body: str) -> bool:
 
 
 def is_signed_token(text: str) -> bool:
+    """Whether the token's first part is a JSON object that names an algorithm; one nested too deep to parse is none."""
     head = decode64(text.split(".", 1)[0])
     try:
         header = json.loads(head) if head else None
-    except ValueError:
+    except (ValueError, RecursionError):
         return False
     return isinstance(header, dict) and isinstance(header.get("alg"), str)
 
@@ -188,10 +193,12 @@ def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def in_order(spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """The spans by start, then kind, then end."""
     return sorted(spans, key=lambda s: (s[0], _RANK[s[2]], s[1]))
 
 
 def written(spans: list[tuple[int, int, str]]) -> str:
+    """The spans as kind:start:end, in order, joined by commas."""
     return ",".join(f"{k}:{a}:{b}" for a, b, k in in_order(spans))
 
 
