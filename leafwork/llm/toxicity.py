@@ -38,24 +38,28 @@ def tokens(word: str) -> list[str]:
 
 
 def segments(scores: list[float]) -> list[tuple[float, int, int]]:
-    """All maximal-scoring segments: score, first and last index (exclusive), found in linear time."""
-    found: list[list[float]] = []  # sum before, sum after, start, end
+    """All maximal-scoring segments: score, first and last index (exclusive).
+
+    Linear time: each segment knows the last one before it that starts lower, so those between are passed over once.
+    """
+    found: list[tuple[float, float, int, int, int]] = []  # sum before, sum after, start, end, place of the last that starts lower
     total = 0.0
     for i, s in enumerate(scores):
         before, total = total, total + s
         if s <= 0:
             continue
         left, right, start, end = before, total, i, i + 1
+        j = len(found) - 1
         while True:
-            j = len(found) - 1
             while j >= 0 and found[j][0] >= left:
-                j -= 1
+                j = found[j][4]
             if j < 0 or found[j][1] >= right:
-                found.append([left, right, start, end])
+                found.append((left, right, start, end, j))
                 break
-            left, start = found[j][0], found[j][2]
+            left, _, start, _, lower = found[j]
             del found[j:]
-    return [(r - l, int(a), int(b)) for l, r, a, b in found]
+            j = lower
+    return [(r - l, int(a), int(b)) for l, r, a, b, _ in found]
 
 
 @dataclass
@@ -97,9 +101,11 @@ class ToxicityModel:
         gap = 0
         for i, w in enumerate(words):
             s = hot.get(w)
-            if s is None or i and w == words[i - 1]:  # a word said again at once adds nothing
+            if s is None:
                 gap += 1
                 continue
+            if i and w == words[i - 1]:  # a word said again at once neither adds nor costs anything
+                continue
             if gap:
                 scores.append(gap * DRIFT)
                 at.append(-1)
