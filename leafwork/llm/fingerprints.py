@@ -130,28 +130,35 @@ def likeness(p: str, q: str) -> Column:
 
 
 def _borders(df: DataFrame, key: str, buckets: int) -> list[int]:
-    """Ascending values of the key that cut its rows into ranges of about the same size; each value is in the data."""
+    """Ascending values of the (integer) key that cut its rows into ranges of about the same size; each is in the data."""
     share = [i / buckets for i in range(1, buckets)]
-    found = df.agg(F.percentile_approx(key, share, 100_000).alias("q"), F.max(key).alias("m")).first() if share else None
+    found = df.agg(F.percentile_approx(key, share, max(100_000, 10 * buckets)).alias("q"), F.max(key).alias("m")).first() if share else None
     if not found or not found["q"]:
         return []
     return sorted({int(x) for x in found["q"] if x is not None and x < found["m"]})
 
 
-def _range_of(key: str, borders: list[int]) -> Column:
-    """Number of borders below the key, found in two steps so that few are compared; null keys get -1."""
-    if not borders:
-        return F.when(F.col(key).isNull(), -1).otherwise(0)
+def _with_range(df: DataFrame, key: str, borders: list[int]) -> DataFrame:
+    """Adds _range, the number of borders below the key, found in two steps so that few are compared; null keys get -1."""
     step = max(1, int(len(borders) ** 0.5))
-    groups = [borders[i : i + step] for i in range(0, len(borders), step)]
+    groups = [borders[i : i + step] for i in range(0, len(borders), step)] or [[]]
+    heads = F.array(*[F.lit(g[0]).cast("bigint") for g in groups[1:]]).cast("array<bigint>")
     below = lambda values: F.size(F.filter(values, lambda b: b < F.col(key)))
-    array = lambda values: F.array(*[F.lit(v).cast("bigint") for v in values])
-    heads = below(array([g[0] for g in groups[1:]])) if len(groups) > 1 else F.lit(0)
-    inner = below(F.get(F.array(*[array(g) for g in groups]), heads))
-    return F.when(F.col(key).isNull(), -1).otherwise(heads * step + inner).cast("int")
+    table = df.sparkSession.createDataFrame(list(enumerate(groups)), "_group int, _borders array<bigint>")
+    found = df.withColumn("_group", F.when(F.col(key).isNull(), 0).otherwise(below(heads))).join(F.broadcast(table), "_group")  # 8 bytes a range
+    return found.withColumn("_range", F.when(F.col(key).isNull(), -1).otherwise(F.col("_group") * step + below(F.col("_borders"))).cast("int")).drop("_group", "_borders")
 
 
-def dealt_with_next(df: DataFrame, key: str, column: str, rows_per_range: int = 2000, most_ranges: int = 4096) -> DataFrame:
+def ranges_for(rows: int, rows_per_range: int = 2000, even: int = 4096) -> int:
+    """How many ranges: one for each rows_per_range rows up to `even` ranges, then as the root of the rows.
+
+    The driver and each executor hold two numbers a range: 320,000 ranges of 156,000 rows for 5e10 rows.
+    """
+    n = max(1, rows // rows_per_range)
+    return n if n <= even else int((even * n) ** 0.5)
+
+
+def dealt_with_next(df: DataFrame, key: str, column: str, rows_per_range: int = 2000, even: int = 4096) -> DataFrame:
     """The rows dealt by descending ranges of the key (_range), numbered there (_row), with next_<column>: the value in
     the row that follows by descending key, after the last row that of the first.
 
@@ -159,16 +166,17 @@ def dealt_with_next(df: DataFrame, key: str, column: str, rows_per_range: int =
     the range before it; it has no next. Rows with equal keys follow each other by the column; rows without key come last.
     """
     n = df.count()
-    df = df.withColumn("_range", _range_of(key, _borders(df, key, min(most_ranges, max(1, n // rows_per_range)))))
-    # One row for each range, most_ranges + 1 at most: its bound makes collecting and broadcasting safe.
+    names = df.columns
+    df = _with_range(df, key, _borders(df, key, ranges_for(n, rows_per_range, even)))
+    # One row for each range: the bound of ranges_for makes collecting and broadcasting safe.
     tops = sorted(df.groupBy("_range").agg(F.max(key).alias("k")).collect())
     before = [(r["_range"], r["k"], tops[(i + 1) % len(tops)]["_range"]) for i, r in enumerate(tops)]
     heads = df.sparkSession.createDataFrame(before, f"_r int, _k {dict(df.dtypes)[key]}, _before int")
     extra = df.join(F.broadcast(heads), (F.col("_range") == F.col("_r")) & F.col(key).eqNullSafe(F.col("_k")))
     extra = extra.withColumn("_first", F.row_number().over(Window.partitionBy("_r").orderBy(column))).where("_first = 1")
-    extra = extra.withColumn("_range", F.col("_before")).select(*df.columns, F.lit(1).alias("_extra"))
+    extra = extra.withColumn("_range", F.col("_before")).select(*names, "_range", F.lit(1).alias("_extra"))
     w = Window.partitionBy("_range").orderBy("_extra", F.col(key).desc_nulls_last(), column)
-    return df.withColumn("_extra", F.lit(0)).unionByName(extra).withColumns({"_row": F.row_number().over(w), f"next_{column}": F.lead(column).over(w)})
+    return df.select(*names, "_range", F.lit(0).alias("_extra")).unionByName(extra).withColumns({"_row": F.row_number().over(w), f"next_{column}": F.lead(column).over(w)})
 
 
 def edited(text: str, following: str) -> Column:
