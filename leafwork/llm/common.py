@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import gc
-import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from leafwork.sources.shared import cut, shared_folder
+
 
 ROWS_PER_BATCH, BYTES_PER_BATCH = 1024, 4 << 20
 
@@ -33,28 +34,6 @@ def delete(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names. Where it is unset, as in tests, a temporary one serves a local
-    master; on a cluster that would be a folder of one machine, so it is an error."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="leafwork-")
-    return folder
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """The rows of df, kept in the shared checkpoint folder so that a lost executor costs no recomputation.
-
-    Spark deletes them with the DataFrame where spark.cleaner.referenceTracking.cleanCheckpoints is set.
-    """
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
-
-
 def release(spark: SparkSession) -> None:
     """Lets Spark delete the shuffle files of finished steps now: its cleaner acts when the driver collects garbage,
     which may be long after what those steps made has been cut off."""
@@ -92,7 +71,8 @@ def bounded_sample(df: DataFrame, by: str, most: int | dict, seed: int, max_char
     kind = df.schema[by].dataType.simpleString()
     limits = df.sparkSession.createDataFrame(limits, f"`{by}` {kind}, _share double, _most int")
     # A threshold on the hash takes a few rows too many before anything is shuffled; the limit is exact.
-    taken = df.join(limits, by).withColumn("_hash", unit_hash("doc_id", "text", seed=seed)).where("_hash < _share")
+    few = F.broadcast(limits) if len(totals) <= 1_000_000 else limits
+    taken = df.join(few, by).withColumn("_hash", unit_hash("doc_id", "text", seed=seed)).where("_hash < _share")
     rank = F.row_number().over(Window.partitionBy(by).orderBy("_hash"))
     return taken.withColumn("_rank", rank).where("_rank <= _most").select(*df.columns), totals
 

@@ -66,7 +66,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_join(common.table(spark, sf_dir, "documents"))
+    return jaccard.jaccard_join(common.table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_copies")
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

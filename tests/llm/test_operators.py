@@ -7,16 +7,20 @@ import json
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from dataclasses import replace
 from fractions import Fraction
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
-from leafwork.llm import common, fingerprints, jaccard, language, line_rules, mixing, pieces, quality, queries, secrets, sharding, toxicity
+from leafwork.llm import common, fingerprints, jaccard, language, line_rules, mixing, oracles, pieces, quality, queries, secrets, sharding, toxicity
 
 SF = "/root/testdata/sf0.001"
 KINDS = "doc_id long, text string, lang string, source string, n_chars long, score string, shard string"
@@ -105,6 +109,41 @@ def test_segments_are_maximal():
         assert [(round(x, 6), a, b) for x, a, b in toxicity.segments(s)] == [(round(x, 6), a, b) for x, a, b in plain(s)]
 
 
+def test_segments_take_linear_time():
+    began = time.process_time()
+    assert len(toxicity.segments([1.0, -2.0] * 100_000)) == 100_000
+    assert len(toxicity.segments([3.0, -2.0] * 100_000)) == 1
+    assert time.process_time() - began < 3
+
+
+def test_toxicity_scores_are_their_definitions():
+    """Log-odds under the prior, evidence of each passage, and that a repeated word costs nothing."""
+    rng = random.Random(6)
+    some = lambda: " ".join(f"n{rng.randrange(90)}" for _ in range(12))
+    rows = [(f"plain words {some()}", 0) for _ in range(400)] + [(f"plain {some()} idiot and scum x{i % 3}", 1) for i in range(100)]
+    model, rows = toxicity.fit(rows), toxicity.without_copies(rows)
+    n1 = sum(y for _, y in rows)
+    n0 = len(rows) - n1
+    assert n1 > 60 and n0 > 250
+    for token in ("=idiot", "scum", "=plain", "=x1"):
+        has = [sum(any(token in toxicity.tokens(w) for w in t.split()) for t, y in rows if y == k) for k in (0, 1)]
+        a, every = 200.0 * sum(has) / (n0 + n1), n0 + n1
+        odds = [math.log((h + a * n / every) / max(n + 200.0 * n / every - h - a * n / every, 0.5)) for h, n in zip(has, (n0, n1))]
+        log_odds = odds[1] - odds[0]
+        z = log_odds / math.sqrt(1 / (has[1] + a * n1 / every) + 1 / (has[0] + a * n0 / every))
+        if log_odds >= 2.5 and z >= 4.5 and has[1] >= 3:
+            assert model.weights[token] == pytest.approx(min(6.0, log_odds))
+        else:
+            assert token not in model.weights
+    assert "=idiot" in model.weights and "=plain" not in model.weights
+    text = "some day idiot and scum or so " * 3
+    n, found = model.passages(text)
+    scores = [model.word_score(w) for w in toxicity.WORDS.findall(text)]
+    want = [model.rate * s - model.log_k - math.log(n) for s, _, _ in toxicity.segments(scores)]
+    assert [e for e, _, _ in found] == pytest.approx([x for x in want if x > 0]) and found
+    assert model.evidence("idiot " * 9 + "scum") >= model.evidence("idiot scum") - math.log(10 / 2) - 1e-9
+
+
 def test_toxicity_learns_and_ignores_held_out(spark):
     got = queries.op2_toxicity(spark, "/root/testdata/sf0.01").join(common.table(spark, "/root/testdata/sf0.01", "labels"), "doc_id").where("held_out").collect()
     assert all(zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1 for r in got)
@@ -162,6 +201,16 @@ def test_line_rules(spark, docs, odd, none):
         removed += sum(r[7] for r in want)
     assert removed
     assert line_rules.filter_by_lines(none).count() == 0
+    # Rows that are repeated have removed lines, and values of their own.
+    shared = "this line is found in all of them\n"
+    rows = [(i, "h", shared * (1 + i % 2) + " ".join(f"w{i}x{j}" for j in range(60))) for i in range(25)]
+    rows += [rows[0], rows[0], rows[1], (0, "h", shared + "another text of the same id " + " ".join(f"v{j}" for j in range(50)))]
+    got = line_rules.filter_by_lines(spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(3)).collect()
+    assert sorted(map(tuple, got), key=repr) == plain_lines(rows, 20, 0.002, 0.5) and all(r["n_removed_lines"] in (1, 2) for r in got)
+    with duckdb.connect() as db:
+        db.register("documents", pa.table({"doc_id": [r[0] for r in rows], "source": [r[1] for r in rows], "text": [r[2] for r in rows]}))
+        names = got[0].__fields__
+        assert sorted(db.sql(oracles.LINE_RULES).select(*map(duckdb.ColumnExpression, names)).fetchall(), key=repr) == sorted(map(tuple, got), key=repr)
 
 
 # --- 4: mixing ---------------------------------------------------------------------------------------------------
@@ -296,6 +345,39 @@ def test_fingerprints(spark, docs, odd, none):
     assert fingerprints.compare_with_next(none).count() == 0
 
 
+def test_ranges_beyond_the_even_ones(spark):
+    assert [fingerprints.ranges_for(n, 10, 4) for n in (0, 39, 40, 90, 1000)] == [1, 3, 4, 6, 20]
+    rows = [(i * 37 % 991 if i % 5 else None, f"t{i}") for i in range(991)] + [(5, "again"), (5, "more")]
+    df = spark.createDataFrame(rows, "k long, x string").repartition(4)
+    got = fingerprints.dealt_with_next(df, "k", "x", 10, 4).where("_extra = 0").collect()
+    want = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    assert sorted((r["k"], r["x"], r["next_x"]) for r in got if r["k"] is not None) == sorted((k, x, want[i + 1][1]) for i, (k, x) in enumerate(want) if k is not None)
+    assert {r["x"]: r["next_x"] for r in got} == {x: want[(i + 1) % len(want)][1] for i, (_, x) in enumerate(want)} and len({r["_range"] for r in got}) > 15
+
+
+def plain_fingerprint(text):
+    """The digits by their definition, with the hash that Spark chains over the five words."""
+    w, bins = words(text), {}
+    for i in range(max(min(len(w), 1), len(w) - 4)):
+        h = 42
+        for x in w[i : i + 5] if len(w) >= 5 else [" ".join(w)]:
+            h = xxhash.xxh64_intdigest(x.encode(), h)
+        signed = h - (1 << 64) if h >> 63 else h
+        bins[h >> 56] = min(bins.get(h >> 56, signed), signed)
+    digits = []
+    for i in range(256 if bins else 0):
+        probes = [i, *((i * a + c) % 256 for a, c in fingerprints.PROBES), min(bins, key=lambda p: ((p + 1) * (i * 37 % 256 + 1) % 257, p))]
+        digits.append(bins[next(p for p in probes if p in bins)] & 15)
+    return "".join("0123456789abcdef"[digits[16 * k + 15 - j]] for k in range(16) for j in range(16)) if bins else "-"
+
+
+def test_fingerprints_are_plain_ones(spark, docs, odd):
+    for df in (docs, odd.where("doc_id is not null").dropDuplicates(["doc_id"])):
+        texts = {r["doc_id"]: r["text"] for r in df.collect()}
+        got = {r["doc_id"]: r["fingerprint"] for r in fingerprints.fingerprint(df).collect()}
+        assert got == {k: plain_fingerprint(t) for k, t in texts.items()}
+
+
 def test_fingerprint_likeness(spark):
     rng = random.Random(4)
     for n, least in ((600, 0.09), (60, 0.16)):
@@ -337,6 +419,23 @@ def test_language_filters_correct_false_hits():
     assert abs(hits[0] / totals[0] - model.false_rate).max() < 0.003  # no n-gram of this text is known: all hits are false
 
 
+def test_language_filters_are_bloom_filters():
+    """Counted hits against a plain filter for each language, bit by bit."""
+    texts = {"a": ["the cat and the dog"] * 3, "b": ["der hund und die katze"] * 2, "c": ["le chat et le chien"] * 2}
+    model, mask = language.LanguageFilters.fit(texts), (1 << 64) - 1
+    windows = lambda t: [b[i : i + 5] for b in [t.lower().encode()] for i in range(len(b) - 4)]
+    slots = lambda g: [(int.from_bytes(g, "little") * int(m) & mask) >> 44 for m in language._MULTIPLIERS]
+    counts = {k: Counter(g for t in [" \n ".join(v)] for g in windows(t)) for k, v in texts.items()}
+    totals = {k: sum(c.values()) for k, c in counts.items()}
+    best = {g: max(c[g] / totals[k] for k, c in counts.items()) for c in counts.values() for g in c}
+    held = {k: {x for g, n in c.items() if n >= 2 and n / totals[k] >= 0.2 * best[g] for x in slots(g)} for k, c in counts.items()}
+    for t in ("the hund et chat", "x", "katze und dog " * 40000):
+        n, hits = model.count([t])
+        own = Counter(windows(t))
+        assert n[0] == sum(own.values())
+        assert hits[0].tolist() == [sum(m for g, m in own.items() if held[k].issuperset(slots(g))) for k in sorted(texts)]
+
+
 def test_language_learns_more_than_64(spark):
     rng = random.Random(8)
     text = {f"l{i:03d}": " ".join("".join(rng.choices("abcdefghij", k=7)) for _ in range(60)) for i in range(150)}
@@ -373,6 +472,18 @@ def test_secret_structures():
     assert rsa.hex() not in masked and token not in masked and fake in masked
 
 
+def test_hostile_headers_and_inner_strings():
+    deep = base64.urlsafe_b64encode(b'{"a":' + b"[" * 200_000).decode().rstrip("=")
+    assert secrets.confirmed_spans(f"eyJ{deep}.eyJh.x") == [] and secrets.is_signed_token(deep + ".a.b") is False
+    der = lambda tag, body: bytes([tag, len(body)]) + body
+    identifier = der(0x30, der(0x06, b"\x2b\x65\x70"))
+    good = der(0x30, der(0x02, b"\0") + identifier + der(0x04, der(0x04, b"k" * 32)))
+    bad = der(0x30, der(0x02, b"\0") + identifier + der(0x04, b"\x04\x20" + b"k" * 31))
+    assert secrets.is_der_key(good) and not secrets.is_der_key(bad)
+    public = lambda unused: der(0x30, identifier + der(0x03, unused + b"k" * 32))
+    assert secrets.is_der_key(public(b"\0")) and not secrets.is_der_key(public(b"\x09"))
+
+
 def test_keys_after_an_equals_sign():
     rsa = der(0x30, b"".join([der(2, b"\0"), der(2, b"\x01" * 64), der(2, b"\x01" * 3), *[der(2, b"\x01" * 32)] * 6]))
     ssh = b"".join(len(x).to_bytes(4, "big") + x for x in (b"ssh-ed25519", b"k" * 32))
@@ -446,6 +557,43 @@ def test_communication_matrix_is_uniform():
         assert abs(seen[k] / 4000 - p) < 0.03
 
 
+def test_large_draws_follow_the_law():
+    rng = np.random.default_rng(5)
+    for good, bad, sample in ((30, 50, 20), (500, 90, 300), (4000, 9000, 5000), (7, 100_000, 60_000)):
+        drawn = np.array([sharding.draw_large(rng, good, bad, sample) for _ in range(8000)])
+        values = np.arange(max(0, sample - bad), min(good, sample) + 1)
+        log_p = [math.lgamma(good + 1) - math.lgamma(k + 1) - math.lgamma(good - k + 1) + math.lgamma(bad + 1) - math.lgamma(sample - k + 1) - math.lgamma(bad - sample + k + 1) for k in values.tolist()]
+        p = np.exp(np.array(log_p) - max(log_p))
+        p /= p.sum()
+        edges = np.searchsorted(np.cumsum(p), [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])
+        cut = np.unique(values[edges])
+        expect = np.diff([0, *(p[values <= c].sum() for c in cut), 1]) * len(drawn)
+        seen = np.diff([0, *((drawn <= c).sum() for c in cut), len(drawn)])
+        keep = expect > 5
+        assert ((seen - expect)[keep] ** 2 / expect[keep]).sum() < 35, (good, bad, sample)
+    began = time.process_time()
+    drawn = np.array([sharding.draw(rng, 4 * 10**12, 6 * 10**12, 10**9) for _ in range(300)])
+    assert abs(drawn.mean() - 4e8) < 5 * (10**9 * 0.24) ** 0.5 / 300**0.5 and time.process_time() - began < 2
+
+
+def test_whole_matrices_are_uniform():
+    """Each matrix with these margins as often as permutations give it: a chi-square over all of them."""
+    sizes, targets, seen = [3, 2, 2], [4, 3], Counter()
+    for seed in range(6000):
+        seen[tuple(sharding.communication_matrix(sizes, targets, seed)[:, 0])] += 1
+    law = {(a, b, 4 - a - b): math.comb(3, a) * math.comb(2, b) * math.comb(2, 4 - a - b) / math.comb(7, 4) for a in range(4) for b in range(3) if 0 <= 4 - a - b <= 2}
+    assert set(seen) <= set(law) and sum((seen[k] - 6000 * p) ** 2 / (6000 * p) for k, p in law.items()) < 30
+
+
+def test_sharding_with_many_blocks(spark):
+    df = spark.range(3000).withColumn("x", F.col("id") % 7).withColumn("slot", F.lit("mine"))
+    got = sharding.shuffle_into_shards(df.select("id", "x"), "id", 3, rows_per_block=1).collect()
+    slots = defaultdict(list)
+    for r in got:
+        slots[r["shard"]].append(r["slot"])
+    assert sorted(r["id"] for r in got) == list(range(3000)) and all(sorted(v) == list(range(1000)) for v in slots.values()) and len(slots) == 3
+
+
 # --- 9: Jaccard join ---------------------------------------------------------------------------------------------
 
 
