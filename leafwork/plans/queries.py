@@ -236,13 +236,25 @@ def extract_summary(spark, sf_dir):
     return headings.extract_summary(docs, fx.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("doc")))
 
 
+def lossy_text(spark, sf_dir):
+    """O16: bytes that are no UTF-8, and a cut-off last character, vanish."""
+    broken = F.concat(F.lit(bytearray(b"\xff")), F.encode("text", "UTF-8"), F.lit(bytearray(b"\xfe\xc3")))
+    return fx.table(spark, sf_dir, "documents").select("doc_id", T.decode_lossy(broken).alias("text"))
+
+
+def confidence_rounding(spark, sf_dir):
+    """O24b: confidences with four digits."""
+    df = fx.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_quantity").cast("double") / 51).alias("c"))
+    return _long(df.select("l_orderkey", "l_linenumber", T.round4(F.col("c")).alias("confidence")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         heading_map, heading_count_per_doc, heading_excerpt, page_text, document_text, noise_filter, normalize_lines, strip_lines, split_document_lines, markdown_unescape, md_heading_dict,
         backfill_join, backfill_pages, backfill_counts, backfill_status, backfill_summary, dense_page_spine, page_spine_with_ocr, reading_order, raw_fallback, recovered_pages,
         page_nested_roundtrip, skip_completed, start_from, report_stem, allow_list, allow_list_missing, chunk_gate, chunk_plan, chunk_offset, chunk_merge_text, resume_work_set,
-        bbox_transform, bbox_flip, overlay_commands, figure_names, figure_manifest, main_class, extract_summary,
+        bbox_transform, bbox_flip, overlay_commands, figure_names, figure_manifest, main_class, extract_summary, lossy_text, confidence_rounding,
     )
 }
 
@@ -327,5 +339,7 @@ ORACLE_SQL = {
     "figure_names": f"WITH {_FIG} SELECT doc, pic_no AS figure_no, file FROM fn",
     "figure_manifest": f"""WITH {_FIG} SELECT doc, count(*) AS n_figures, '{{"n_figures":' || count(*) || ',"figures":[' || string_agg('{{"file":"' || file || '","page":' || coalesce(CAST(page AS VARCHAR), 'null') || ',"bbox":null' || CASE WHEN vec_id % 3 = 0 THEN ',"classification":"chart"' ELSE '' END || ',"caption":' || CASE WHEN vec_id % 2 = 0 THEN '"a figure"' ELSE 'null' END || '}}', ',' ORDER BY pic_no) || ']}}' AS json FROM fn GROUP BY doc""",
     "main_class": f"WITH {_FIG}, e AS (SELECT doc, pic_no, u.k, u.c FROM fg, LATERAL (SELECT unnest(embedding[1:3]) AS c, generate_subscripts(embedding[1:3], 1) - 1 AS k) u) SELECT doc, pic_no, 'class' || arg_max(k, c) AS class_name FROM e GROUP BY doc, pic_no",
+    "lossy_text": "SELECT doc_id, text FROM documents",
+    "confidence_rounding": "SELECT l_orderkey::BIGINT AS l_orderkey, l_linenumber::BIGINT AS l_linenumber, round(l_quantity::DOUBLE / 51, 4) AS confidence FROM lineitem",
     "extract_summary": "SELECT count(*) FILTER (l.doc_id IS NULL) AS written, count(*) FILTER (l.doc_id IS NOT NULL) AS skipped FROM documents d LEFT JOIN labels l USING (doc_id)",
 }
