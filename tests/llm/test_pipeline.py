@@ -47,7 +47,7 @@ def rows_with_clashes():
     """Rows of one id with equal and different texts, blank texts, nulls, a hostile token, and columns named as the stages' own."""
     some = lambda x: " ".join(f"{x}{i}" for i in range(40))
     deep = base64.urlsafe_b64encode(b'{"alg":' + b"[" * 100_000).decode().rstrip("=")
-    texts = [(7, some("a"), "y"), (7, some("b"), "x"), (3, some("b") + " end", "x"), (7, some("a"), "x"), (8, "", "x"), (8, " ", "x"), (None, some("a"), "x"), (9, None, None), (10, "key eyJ" + deep + ".eyJh.x", "z"), (11, 'password = "hunter2hunter2"', "z")]
+    texts = [(7, some("a"), "y"), (7, some("b"), "x"), (3, some("b") + " end", "x"), (7, some("a"), "x"), (8, "", "x"), (8, " ", "x"), (None, some("a"), "x"), (9, None, None), (10, "key eyJ" + deep + ".eyJh.x", "z"), (11, "password = hunter2hunter2", "z")]
     return [(k, t, "en", s, 1, *[f"mine{i}{c}" for c in range(10)]) for i, (k, t, s) in enumerate(texts)]
 
 
