@@ -42,6 +42,10 @@ def _put(path: str, data: str | bytes) -> None:
     system.move(temp, name)
 
 
+def _line(x: dict) -> dict:
+    return {"text": x["text"], "confidence": float(x["confidence"]), "bbox": [float(v) for v in x["bbox"]]}
+
+
 def write_folders(records: DataFrame, output_dir: str, markdown_dir: str | None = None) -> DataFrame:
     """Writes the files of each record of document_records below output_dir, a path that all executors share.
 
@@ -55,7 +59,7 @@ def write_folders(records: DataFrame, output_dir: str, markdown_dir: str | None
             for r in b.to_dict("records"):
                 doc, folder = r["doc"], f"{output_dir}/{r['doc']}"
                 pages = [
-                    {"page_index": int(p["page_index"]), "image_path": p["image_path"], "text_lines": [{"text": x["text"], "confidence": float(x["confidence"]), "bbox": [float(v) for v in x["bbox"]]} for x in p["text_lines"]], "full_text": p["full_text"]}
+                    {"page_index": int(p["page_index"]), "image_path": p["image_path"], "text_lines": [_line(x) for x in p["text_lines"]], "full_text": p["full_text"]}
                     for p in (r["pages"] if r["pages"] is not None else [])
                 ]
                 heads = [{"page": int(h["page"]), "text": h["text"]} for h in (r["headings"] if r["headings"] is not None else [])]
