@@ -53,7 +53,9 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     found = secrets.scan_secrets(docs.select(row, "text"), mask=MASK)
     changed = F.col("n_spans") > 0
-    values = {"text": F.when(changed, F.col("masked")).otherwise(F.col("row.text")), "n_chars": F.when(changed, F.char_length("masked").cast(dict(docs.dtypes).get("n_chars", "long"))).otherwise(F.col("row.n_chars")) if "n_chars" in docs.columns else None}
+    values = {"text": F.when(changed, F.col("masked")).otherwise(F.col("row.text"))}
+    if "n_chars" in docs.columns:
+        values["n_chars"] = F.when(changed, F.char_length("masked").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("row.n_chars"))
     return found.select(*[values[c].alias(c) if c in values else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
@@ -71,7 +73,13 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pieces.tokenize(docs.select("doc_id", "source", "text"), tokenizer_path()).select("doc_id", "source", "n_tokens", "ids_sha256", "decoded_sha256", "ids")
 
 
-STAGES = [("quality classifier", keep_good), ("n-gram Jaccard join", keep_one_of_each), ("secret scans", mask_secrets), ("mixing sources", mix_sources), ("SentencePiece", tokenize)]
+STAGES = [
+    ("quality classifier", keep_good),
+    ("n-gram Jaccard join", keep_one_of_each),
+    ("secret scans", mask_secrets),
+    ("mixing sources", mix_sources),
+    ("SentencePiece", tokenize),
+]
 #: SQL can express neither the network nor the merges; tests compare with a plain version.
 ORACLE_SQL = None
 
