@@ -148,6 +148,7 @@ def identify_language(df: DataFrame, model: LanguageFilters, text_col: str = "te
             for start in range(0, whole.num_rows, 512):
                 batch = whole.slice(start, 512)
                 found = shared.value.predict(batch.column(kept.index(text_col)).to_pylist())
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())], names=[*kept, "lang_pred", "score"])
+                added = pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())
+                yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*kept, "lang_pred", "score"])
 
     return df.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), "lang_pred string, score double"]))

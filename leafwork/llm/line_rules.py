@@ -50,7 +50,8 @@ def with_base_rules(df: DataFrame, text_col: str = "text") -> DataFrame:
     near = lambda v, j: F.coalesce(equal(v, F.get("_sorted", j)), F.lit(False))
     twice = F.filter("_sorted", lambda v, j: near(v, j - 1) | near(v, j + 1))
     df = df.withColumn("_at", F.sort_array(F.transform(twice, lambda v: v["i"])))
-    covered = F.aggregate("_at", F.struct(F.lit(0).alias("n"), F.lit(-1).alias("upto")), lambda a, i: F.struct((a["n"] + i + 3 - F.greatest(i, a["upto"])).alias("n"), (i + 3).alias("upto")), lambda a: a["n"])
+    added = lambda a, i: F.struct((a["n"] + i + 3 - F.greatest(i, a["upto"])).alias("n"), (i + 3).alias("upto"))
+    covered = F.aggregate("_at", F.struct(F.lit(0).alias("n"), F.lit(-1).alias("upto")), added, lambda a: a["n"])
     df = df.withColumns(
         {
             "word_chars": F.char_length(F.array_join("_w", "")).cast("long"),
@@ -63,7 +64,9 @@ def with_base_rules(df: DataFrame, text_col: str = "text") -> DataFrame:
     return df.drop("_w", "_lines", "_h", "_some", "_sorted", "_at")
 
 
-def filter_by_lines(df: DataFrame, key: str = "doc_id", host: str = "source", text_col: str = "text", least_documents: int = 20, host_share: float = 0.002, least_kept: float = 0.5) -> DataFrame:
+def filter_by_lines(
+    df: DataFrame, key: str = "doc_id", host: str = "source", text_col: str = "text", least_documents: int = 20, host_share: float = 0.002, least_kept: float = 0.5
+) -> DataFrame:
     """The key, the base rules, removed_words, n_removed_lines and kept, for each row.
 
     A line is above the limit if it is in more distinct documents of its host than least_documents and than

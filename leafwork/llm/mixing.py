@@ -159,7 +159,9 @@ def mix(df: DataFrame, weights: dict[str, float] | None = None, source: str = "s
     return rows.select("row.*", name, "block", "phase", "release", "deadline", "slot", "place")
 
 
-def in_order(df: DataFrame, parts: int, weights: dict[str, float] | None = None, source: str = "source", documents_per_block: int = 32, temperature: float = 0.5, seed: int = 4) -> DataFrame:
+def in_order(
+    df: DataFrame, parts: int, weights: dict[str, float] | None = None, source: str = "source", documents_per_block: int = 32, temperature: float = 0.5, seed: int = 4
+) -> DataFrame:
     """The rows of df in the order of the schedule of `mix`, in `parts` partitions of about the same number of slots.
 
     Whole rows are moved once: which part a row belongs to follows from its hash, by the part's first hash in each

@@ -155,6 +155,7 @@ def score_quality(df: DataFrame, network: QualityNetwork, text_col: str = "text"
             for start in range(0, whole.num_rows, 1024):
                 batch = whole.slice(start, 1024)
                 score = [shared.value.score(t) for t in batch.column(kept.index(text_col)).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score, pa.float64()), pa.array([int(s >= threshold) for s in score], pa.int32())], names=[*kept, "score", "predicted"])
+                added = pa.array(score, pa.float64()), pa.array([int(s >= threshold) for s in score], pa.int32())
+                yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*kept, "score", "predicted"])
 
     return df.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), "score double, predicted int"]))

@@ -105,7 +105,8 @@ def _runs(spark: SparkSession, sizes: list[int], cells: list[int], seed: int) ->
     """
     step = max(1, round(len(cells) ** 0.5))
     groups = [(first, list(map(int, part)), needs.tolist()) for first, part, needs in halved(0, sizes, np.array(cells, np.int64), seed, BLOCKS)]
-    table = pa.table({"first": pa.array([g[0] for g in groups], pa.int64()), "sizes": pa.array([g[1] for g in groups], pa.list_(pa.int64())), "needs": pa.array([g[2] for g in groups], pa.list_(pa.int64()))})
+    kinds = {"first": pa.int64(), "sizes": pa.list_(pa.int64()), "needs": pa.list_(pa.int64())}
+    table = pa.table({name: pa.array([g[k] for g in groups], kind) for k, (name, kind) in enumerate(kinds.items())})
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,7 +114,8 @@ def _runs(spark: SparkSession, sizes: list[int], cells: list[int], seed: int) ->
                 for block, _, needs in halved(g["first"], g["sizes"], np.array(g["needs"], np.int64), seed, 1):
                     ends = np.cumsum(needs)
                     chunks = [ends[i : i + step].tolist() for i in range(0, len(ends), step)]
-                    yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([[c[-1] for c in chunks]], pa.list_(pa.int64())), pa.array([chunks], pa.list_(pa.list_(pa.int64())))], names=["_block", "_heads", "_ends"])
+                    heads = pa.array([[c[-1] for c in chunks]], pa.list_(pa.int64()))
+                    yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), heads, pa.array([chunks], pa.list_(pa.list_(pa.int64())))], names=["_block", "_heads", "_ends"])
 
     found = spark.createDataFrame(table).repartition(max(1, len(groups))).mapInArrow(expand, "_block long, _heads array<long>, _ends array<array<long>>")
     # Drawn once: the rows below are joined with it more than once.
@@ -135,7 +137,8 @@ def shuffle_into_shards(df: DataFrame, key: str, shards: int, seed: int = 8, row
     cells = [c for s in shard_sizes(n, shards) for c in shard_sizes(s, parts)]
     starts = np.concatenate([np.cumsum([0, *cells[i : i + parts - 1]]) for i in range(0, len(cells), parts)])
     own = [F.col(f"`{c}`") for c in df.columns]
-    rows = df.select(F.struct(*own).alias("row"), F.pmod(F.xxhash64(F.lit(seed), *own), F.lit(blocks)).alias("_block"), F.xxhash64(F.lit(seed + 1), *own).alias("_h"), F.xxhash64(F.lit(seed + 2), *own).alias("_again"))
+    block, h, again = (F.xxhash64(F.lit(seed + k), *own) for k in range(3))
+    rows = df.select(F.struct(*own).alias("row"), F.pmod(block, F.lit(blocks)).alias("_block"), h.alias("_h"), again.alias("_again"))
     counted = {r["_block"]: r["count"] for r in rows.groupBy("_block").count().collect()}
     runs = _runs(spark, [counted.get(b, 0) for b in range(blocks)], cells, seed)
     runs = F.broadcast(runs) if blocks * len(cells) <= MOST_BROADCAST else runs

@@ -236,10 +236,9 @@ def score_toxicity(df: DataFrame, model: ToxicityModel, text_col: str = "text",
                 batch = whole.slice(start, 1024)
                 found = [m.passages(t or "")[1] for t in batch.column(kept.index(text_col)).to_pylist()]
                 score = [m.probability(sum(e for e, _, _ in f)) for f in found]
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(score, pa.float64()), pa.array([int(s >= threshold) for s in score], pa.int32()), pa.array([len(f) for f in found], pa.int64()), pa.array([[{"start": a, "end": b, "evidence": e} for e, a, b in f] for f in found], span)],
-                    names=[*kept, *names],
-                )
+                spans = pa.array([[{"start": a, "end": b, "evidence": e} for e, a, b in f] for f in found], span)
+                added = [pa.array(score, pa.float64()), pa.array([int(s >= threshold) for s in score], pa.int32()), pa.array([len(f) for f in found], pa.int64()), spans]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*kept, *names])
 
     kinds = "score double, predicted int, n_passages long, passages array<struct<start:long,end:long,evidence:double>>"
     return df.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), kinds]))
