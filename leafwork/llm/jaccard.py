@@ -7,12 +7,13 @@ Prefix. Of a set's n shingles, in one order for all sets, two sets that link sha
 n - share * n + 1. Only these columns are multiplied at first. The order puts shingles that are frequent in a sample
 last, by how frequent they are; it changes the cost and not the result.
 
-Products. Rows that share a column form a group. All rows of a group are multiplied with one of them, in full. Where
-all link, they are one class and no other pair matters. Where classes remain apart, the shared prefix columns of
-pairs across classes are counted: pair by pair in small groups, block by block in large ones. A pair whose count is
-below what its sizes ask for is discarded there; the others are multiplied in full, again pair by pair or block by
-block. Blocks hold rows of similar sizes, and a block gives back a forest of links, not one row a pair. So no link
-that could join two classes is lost, and large groups of copies cost a few products a row.
+Products. Rows that share a column form a group. In small groups the shared columns of all pairs are counted, and a
+pair below what its sizes ask for is discarded. Then rows are multiplied in full: each with one other at first. Where
+all of a group link, they are one class and no other pair matters. Where classes remain apart, the pairs across them
+are multiplied: those counted in small groups pair by pair, those of large groups block by block, there again first
+the prefix columns and then, for what is not discarded, all. Blocks hold rows of similar sizes, and a block gives back
+a forest of links, not one row a pair. So no link that could join two classes is lost, and large groups of copies cost
+a few products a row.
 
 Sets are known by 64-bit hashes of their shingles' 64-bit hashes: two of n different sets get the same id with
 probability n * n / 2**65.
@@ -237,7 +238,8 @@ def _rows(batch: pa.RecordBatch, column: str = "row") -> list[np.ndarray]:
 def _bitmap(ids: DataFrame) -> np.ndarray:
     """A bitmap of fixed size over the ids: a row of it that is not set names none of them."""
     h = F.xxhash64("id")
-    words = ids.groupBy(F.pmod(h, F.lit(BITMAP_WORDS)).alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftrightunsigned(h, 58).cast("int"))).alias("bits"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftrightunsigned(h, 58).cast("int"))
+    words = ids.groupBy(F.pmod(h, F.lit(BITMAP_WORDS)).alias("w")).agg(F.bit_or(bit).alias("bits"))
     out = np.zeros(BITMAP_WORDS, np.int64)
     for r in words.toLocalIterator():  # at most BITMAP_WORDS rows
         out[r["w"]] = r["bits"]
@@ -257,7 +259,8 @@ def set_rows(wanted: DataFrame, sets: DataFrame, df: DataFrame, key: str, text_c
             taken = b.filter(pa.array(hit.astype(bool)))
             for rows in _texts(iter([taken]), 512, 1 << 24):
                 found = [shingle_set(t, bound.width) for _, t, _ in rows]
-                yield pa.RecordBatch.from_arrays([pa.array([i for i, _, _ in rows], pa.int64()), pa.array([set_id(s) for s in found], pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["id", "set", "row"])
+                ids, sets = (pa.array(x, pa.int64()) for x in ([i for i, _, _ in rows], [set_id(s) for s in found]))
+                yield pa.RecordBatch.from_arrays([ids, sets, pa.array(found, pa.list_(pa.int64()))], names=["id", "set", "row"])
 
     source = df.select(F.col(key).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(key).cast("long")).alias("h")).where("id is not null")
     found = source.mapInArrow(needed, "id long, set long, row array<long>")
@@ -330,7 +333,8 @@ def block_products(nodes: DataFrame, label: str, test: Callable[[np.ndarray, int
     of = lambda seed, count: F.pmod(F.xxhash64("set", F.lit(seed)), F.col(count)).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
     columns = ["label", "root", "n", "row"]
-    left = nodes.where("left").join(tasks.where("of = range"), ["cluster", "range"]).select("cluster", "of", of(0, "us").alias("u"), every("rs").alias("r"), F.lit(0).alias("side"), *columns)
+    left = nodes.where("left").join(tasks.where("of = range"), ["cluster", "range"])
+    left = left.select("cluster", "of", of(0, "us").alias("u"), every("rs").alias("r"), F.lit(0).alias("side"), *columns)
     right = nodes.join(tasks, ["cluster", "range"]).select("cluster", "of", every("us").alias("u"), of(1, "rs").alias("r"), F.lit(1).alias("side"), *columns)
     both = left.unionByName(right).repartition("cluster", "of", "u", "r").sortWithinPartitions("cluster", "of", "u", "r", "side")
 
@@ -372,15 +376,15 @@ def _in_clusters(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return nodes.join(components(edges).select(F.col("node").alias("set"), F.col("root").alias("cluster")), "set")
 
 
-def class_links(open_groups: DataFrame, members: DataFrame, rows: Callable[[DataFrame], DataFrame], bound: Bound) -> DataFrame:
+def class_links(opened: DataFrame, members: DataFrame, rows: Callable[[DataFrame], DataFrame], bound: Bound) -> DataFrame:
     """Links between classes (their roots, a and b) that are left in large groups with several classes.
 
-    open_groups: key, set, n, root of such groups, members: key and set of all groups, rows: the full rows of given
+    opened: key, set, n, root of such groups, members: key and set of all groups, rows: the full rows of given
     sets. Groups that share sets form a cluster. First only prefix columns are multiplied: a pair that shares fewer
     than its sizes ask for is discarded. What is left falls into smaller clusters, which are multiplied in full.
     """
-    edges = open_groups.groupBy("key").agg(F.min("set").alias("a")).join(open_groups.select("key", F.col("set").alias("b")), "key").select("a", "b")
-    nodes = cut_small(_in_clusters(open_groups.select("set", "n", "root").distinct(), edges))
+    edges = opened.groupBy("key").agg(F.min("set").alias("a")).join(opened.select("key", F.col("set").alias("b")), "key").select("a", "b")
+    nodes = cut_small(_in_clusters(opened.select("set", "n", "root").distinct(), edges))
     keys = members.join(nodes.select("set"), "set", "left_semi").groupBy("set").agg(F.sort_array(F.collect_list("key")).alias("row"))
     near = cut_small(block_products(cut(nodes.join(keys, "set")), "set", bound.may_hold, bound.share))
     if near.isEmpty():
@@ -454,30 +458,34 @@ def components(links: DataFrame, rows_per_part: int = 200_000) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def group_pairs(members: DataFrame, settled: DataFrame, bound: Bound) -> DataFrame:
-    """The pairs across classes in small open groups that share as many keys as their sizes ask for.
+def counted_pairs(sized: DataFrame, bound: Bound) -> DataFrame:
+    """The pairs (a, b), a < b, in small groups that share as many columns as their sizes ask for.
 
-    members: key, set, n, root, m (rows of the group) of all open groups; settled: pairs multiplied before. Keys of
-    large groups are not counted here, so as many as a set has may be missing.
+    sized: key, set, n and m (rows of the group). Shared columns with large groups are not counted here, so as many as a
+    set has of these may be missing.
     """
-    large = members.where(F.col("m") > bound.small).groupBy("set").agg(F.count("*").alias("more"))
-    small = members.where(F.col("m") <= bound.small)
-    x, y = (small.select("key", *[F.col(c).alias(f"{c}{side}") for c in ("set", "n", "root")]) for side in "ab")
-    pairs = x.join(y, "key").where((F.col("seta") < F.col("setb")) & (F.col("roota") != F.col("rootb")) & bound.sizes_allow("na", "nb"))
-    pairs = pairs.groupBy(F.col("seta").alias("a"), F.col("setb").alias("b"), "na", "nb").agg(F.count("*").alias("shared"))
-    pairs = pairs.join(large.select(F.col("set").alias("a"), F.col("more").alias("ma")), "a", "left").join(large.select(F.col("set").alias("b"), F.col("more").alias("mb")), "b", "left")
+    large = sized.where(F.col("m") > bound.small).groupBy("set").agg(F.count("*").alias("more"))
+    small = sized.where(F.col("m") <= bound.small)
+    x, y = (small.select("key", F.col("set").alias(side), F.col("n").alias(f"n{side}")) for side in "ab")
+    pairs = x.join(y, "key").where((F.col("a") < F.col("b")) & bound.sizes_allow("na", "nb"))
+    pairs = pairs.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("shared"))
+    for side in "ab":
+        pairs = pairs.join(large.select(F.col("set").alias(side), F.col("more").alias(f"m{side}")), side, "left")
     missing = F.least(F.coalesce("ma", F.lit(0)), F.coalesce("mb", F.lit(0)))
-    pairs = pairs.where(F.col("shared") + missing >= bound.least_shared("na", "nb")).select("a", "b")
-    return pairs.join(settled.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    return pairs.where(F.col("shared") + missing >= bound.least_shared("na", "nb")).select("a", "b")
 
 
-def _with_roots(members: DataFrame, roots: DataFrame) -> DataFrame:
-    return members.select("key", "set", "n").join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
+def across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose sets are in different classes."""
+    for side in "ab":
+        pairs = pairs.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"r{side}")), side, "left")
+    return pairs.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
 
 
-def _still_open(members: DataFrame) -> DataFrame:
-    """The members of groups that hold several classes; of groups of two sets the one pair is settled."""
-    keys = members.groupBy("key").agg(F.count("*").alias("m"), F.min("root").alias("low"), F.max("root").alias("high")).where("m > 2 and low <> high").select("key", "m")
+def open_groups(large: DataFrame, roots: DataFrame) -> DataFrame:
+    """key, set, n, root of the rows of groups that hold several classes."""
+    members = large.select("key", "set", "n").join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
+    keys = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
     return cut_small(members.join(keys, "key"))
 
 
@@ -514,23 +522,26 @@ def jaccard_join(df: DataFrame, key: str = "doc_id", text_col: str = "text", bou
     sets = found.where(F.col("kind") == DOCUMENT).select(F.col("b").alias("id"), F.col("na").alias("n"), F.col("a").alias("set"), F.col("key").alias("text_hash"))
     groups = found.where(F.col("kind") == EDGE).drop("kind")
     every = groups.select("key", F.col("a").alias("set"), F.col("na").alias("n")).unionByName(groups.select("key", F.col("b").alias("set"), F.col("nb").alias("n"))).distinct()
+    every = every.join(every.groupBy("key").agg(F.count("*").alias("m")), "key")
     every = cut_small(every, 500_000)
+    large = cut_small(every.where(F.col("m") > bound.small))
     rows = lambda wanted: set_rows(wanted, sets, df, key, text_col, bound)
     sides = lambda pairs: pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
-    # Two sets share no more columns than either shares with any other set.
-    met = cut_small(every.groupBy("set").agg(F.count("*").alias("met")))
-    pairs = groups.where(bound.sizes_allow("na", "nb")).select("a", "b", "na", "nb").distinct()
-    pairs = pairs.join(met.select(F.col("set").alias("a"), F.col("met").alias("ma")), "a").join(met.select(F.col("set").alias("b"), F.col("met").alias("mb")), "b")
-    pairs = cut_small(pairs.where(F.least("ma", "mb") >= bound.least_shared("na", "nb")).select("a", "b"))
+    counted = cut_small(counted_pairs(every, bound))
+    release(spark)
+    # First each set with one other: that of its small groups with the smallest id, and the center of each large group.
+    stars = large.join(large.groupBy("key").agg(F.min(F.struct("set", "n")).alias("c")), "key")
+    stars = stars.select(F.col("c.set").alias("a"), F.col("set").alias("b"), F.col("c.n").alias("na"), F.col("n").alias("nb")).where(F.col("a") < F.col("b"))
+    first = counted.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    pairs = cut_small(first.unionByName(stars.where(bound.sizes_allow("na", "nb")).select("a", "b")).distinct())
     links = cut_small(products(pairs, rows(sides(pairs)), bound))
     roots = cut_small(components(links))
-    members = _still_open(_with_roots(every, roots))
     release(spark)
-    more = cut_small(group_pairs(members, pairs, bound))
+    more = cut_small(across(counted.join(pairs, ["a", "b"], "left_anti"), roots))
     if not more.isEmpty():
         links = cut_small(links.unionByName(products(more, rows(sides(more)), bound)))
         roots = cut_small(components(links))
-    members = _still_open(_with_roots(members.where(F.col("m") > bound.small), roots))
+    members = open_groups(large, roots)
     release(spark)
     if not members.isEmpty():
         links = cut_small(links.unionByName(class_links(members, every.select("key", "set"), rows, bound)))
