@@ -63,18 +63,22 @@ def bounded_sample(df: DataFrame, by: str, most: int | dict, seed: int, max_char
     else those with the smallest hashes. Also how many rows of each value there are.
 
     Rows whose text is null or longer than max_chars code points are not taken: what is collected has a bound
-    of most * max_chars for each value. The choice depends on doc_id, the text and the seed, not on the partitioning.
+    of most * max_chars for each value. The choice depends on doc_id, the text and the seed, not on the partitioning;
+    rows of one doc_id (or without any) pass the hash together, so where they are many the sample can be smaller.
     """
     df = df.where(F.col("text").isNotNull() & (F.char_length("text") <= max_chars) & F.col(by).isNotNull())
     totals = {r[by]: r["_n"] for r in df.groupBy(by).agg(F.count("*").alias("_n")).collect()}
     limits = [(v, min(1.0, 1.2 * m / n + 30 / n), m) for v, n in totals.items() if (m := most.get(v, 0) if isinstance(most, dict) else most)]
     kind = df.schema[by].dataType.simpleString()
-    limits = df.sparkSession.createDataFrame(limits, f"`{by}` {kind}, _share double, _most int")
-    # A threshold on the hash takes a few rows too many before anything is shuffled; the limit is exact.
-    few = F.broadcast(limits) if len(totals) <= 1_000_000 else limits
-    taken = df.join(few, by).withColumn("_hash", unit_hash("doc_id", "text", seed=seed)).where("_hash < _share")
-    rank = F.row_number().over(Window.partitionBy(by).orderBy("_hash"))
-    return taken.withColumn("_rank", rank).where("_rank <= _most").select(*df.columns), totals
+    of_values = df.sparkSession.createDataFrame(limits, f"`{by}` {kind}, _share double, _most int")
+    # A threshold on the hash of doc_id takes a few rows too many where they are read, before anything is shuffled; the
+    # limit is exact.
+    h = unit_hash("doc_id", seed=seed)
+    df = df.where(h < F.lit(max((share for _, share, _ in limits), default=0.0)))
+    few = F.broadcast(of_values) if len(limits) <= 1_000_000 else of_values
+    rank = F.row_number().over(Window.partitionBy(by).orderBy("_hash", F.xxhash64("text")))
+    taken = df.join(few, by).withColumn("_hash", h).where("_hash < _share").withColumn("_rank", rank)
+    return taken.where("_rank <= _most").select(*df.columns), totals
 
 
 def one_label(labels: DataFrame, label: str, key: str = "doc_id") -> DataFrame:
