@@ -7,6 +7,8 @@ the re module on Unicode white space.
 from __future__ import annotations
 
 import html
+import re
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -22,6 +24,8 @@ HEADING = rf"(?s)^(#{{1,6}}){WS}+(.+)\z"
 PAGE_MARK = rf"^==={WS}*Page{WS}+(\p{{Nd}}+){WS}*===\z"
 NOISE = rf"^[\p{{Nd}}{WS_CHARS}.\-,:;()\[\]{{}}/\\]+\z"
 MD_ESCAPED = r"\\([_*`\[\]()#+\-.!|])"
+# For Python: what ends like an entity, known or not.
+CLOSED = re.compile(r"&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);")
 
 
 def strip(c: Column) -> Column:
@@ -71,16 +75,24 @@ def _unescape(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else html.unescape(x))
 
 
-def unescape_markdown(c: Column) -> Column:
+@F.pandas_udf(StringType())
+def _unescape_closed(s: pd.Series) -> pd.Series:
+    known = lambda m: html.unescape(m[0]) if m[1][0] == "#" or m[1] + ";" in html5 else m[0]
+    return s.map(lambda x: None if x is None else CLOSED.sub(known, x))
+
+
+def unescape_markdown(c: Column, closed: bool = False) -> Column:
     """HTML entities are resolved first, then backslashes before Markdown's own characters dropped.
 
-    Python is called only for text with an entity that is not among the five commonest.
+    As in html.unescape, some entities need no semicolon (`&amp` is `&`). closed: all need one, as in CommonMark;
+    what has none is text. Python is called only for text with an entity that is not among the five commonest.
     """
     simple = c
     for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#x27;", "'"), ("&amp;", "&")):
         simple = F.replace(simple, F.lit(name), F.lit(char))
     rare = c.rlike("&(?!(lt|gt|quot|#x27|amp);)[A-Za-z#]") | c.rlike("&amp;[A-Za-z#]")
-    return F.regexp_replace(F.when(rare, _unescape(F.when(rare, c))).otherwise(simple), MD_ESCAPED, "$1")
+    full = _unescape_closed if closed else _unescape
+    return F.regexp_replace(F.when(rare, full(F.when(rare, c))).otherwise(simple), MD_ESCAPED, "$1")
 
 
 @F.pandas_udf(StringType())
