@@ -41,13 +41,14 @@ def extract_summary(docs: DataFrame, existing: DataFrame, force: bool = False) -
     return df.agg(F.count_if(~skip).alias("written"), F.count_if(skip).alias("skipped"))
 
 
-def markdown_headings(lines: DataFrame) -> DataFrame:
+def markdown_headings(lines: DataFrame, closed: bool = False) -> DataFrame:
     """doc, key, level from Markdown lines (doc, line_no, line); of equal keys the last line wins.
 
-    Lines are not stripped, so an indented one is no heading; no noise is dropped.
+    Lines are not stripped, so an indented one is no heading; no noise is dropped. closed: entities without semicolon
+    are text.
     """
     df = lines.withColumn("level", T.heading_level(F.col("line"))).where("level is not null")
-    df = df.withColumn("key", T.normalize(T.unescape_markdown(F.regexp_extract("line", T.HEADING, 2))))
+    df = df.withColumn("key", T.normalize(T.unescape_markdown(F.regexp_extract("line", T.HEADING, 2), closed)))
     return df.groupBy("doc", "key").agg(F.max_by("level", "line_no").alias("level"))
 
 
