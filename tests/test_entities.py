@@ -21,7 +21,7 @@ def pages(spark, tmp_path_factory):
     return folder
 
 
-@pytest.mark.parametrize("name", ["markdown_unescape", "md_heading_dict", "backfill_join", "backfill_pages"])
+@pytest.mark.parametrize("name", ["markdown_unescape", "md_heading_dict", "backfill_join", "backfill_pages", "backfill_counts"])
 def test_cut_entities_match_sql(spark, pages, name):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{pages}/pages.parquet/*.parquet')")
