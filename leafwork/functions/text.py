@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Callable
 from html.entities import html5
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -24,6 +26,11 @@ HEADING = rf"(?s)^(#{{1,6}}){WS}+(.+)\z"
 PAGE_MARK = rf"^==={WS}*Page{WS}+(\p{{Nd}}+){WS}*===\z"
 NOISE = rf"^[\p{{Nd}}{WS_CHARS}.\-,:;()\[\]{{}}/\\]+\z"
 MD_ESCAPED = r"\\([_*`\[\]()#+\-.!|])"
+# White space, headings, what trim takes off and the entities that are resolved in the queries' SQL (DuckDB, RE2).
+SQL_WS = r"[\t\n\f\r ]"
+SQL_HEADING = rf"^(#{{1,6}}){SQL_WS}+([^\n]+)\z"
+SQL_TRIM = " \xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u202f\u205f\u3000"
+SQL_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&copy;", "©"), ("&amp;", "&"))
 # For Python: what ends like an entity, known or not.
 CLOSED = re.compile(r"&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);")
 
@@ -49,9 +56,9 @@ def normalize(c: Column) -> Column:
     return strip(F.regexp_replace(c, f"{WS}+", " "))
 
 
-def heading_level(line: Column) -> Column:
+def heading_level(line: Column, heading: str = HEADING) -> Column:
     """Number of # of a heading line; null if the line is none. The line is taken as it is, not stripped."""
-    found = F.regexp_extract(line, HEADING, 1)
+    found = F.regexp_extract(line, heading, 1)
     return F.when(found != "", F.char_length(found))
 
 
@@ -95,6 +102,30 @@ def unescape_markdown(c: Column, closed: bool = False) -> Column:
     return F.regexp_replace(F.when(rare, full(F.when(rare, c))).otherwise(simple), MD_ESCAPED, "$1")
 
 
+def sql_normalize(c: Column) -> Column:
+    """normalize with what SQL takes as white space: no vertical tab, and other spaces at the ends only."""
+    return F.btrim(F.regexp_replace(c, f"{SQL_WS}+", " "), F.lit(SQL_TRIM))
+
+
+def sql_unescape(c: Column) -> Column:
+    """unescape_markdown with the five named entities of the SQL, each with its semicolon; others are text."""
+    for name, char in SQL_ENTITIES:
+        c = F.replace(c, F.lit(name), F.lit(char))
+    return F.regexp_replace(c, MD_ESCAPED, "$1")
+
+
+class Rules(NamedTuple):
+    """How headings are read from Markdown and compared with lines: pattern of marks and text, entities, normal form."""
+
+    heading: str
+    unescape: Callable[[Column], Column]
+    normalize: Callable[[Column], Column]
+
+
+PYTHON = Rules(HEADING, unescape_markdown, normalize)
+SQL = Rules(SQL_HEADING, sql_unescape, sql_normalize)
+
+
 @F.pandas_udf(StringType())
 def decode_lossy(s: pd.Series) -> pd.Series:
     """bytes.decode('utf-8', 'ignore'): invalid bytes vanish."""

@@ -41,21 +41,20 @@ def extract_summary(docs: DataFrame, existing: DataFrame, force: bool = False) -
     return df.agg(F.count_if(~skip).alias("written"), F.count_if(skip).alias("skipped"))
 
 
-def markdown_headings(lines: DataFrame, closed: bool = False) -> DataFrame:
+def markdown_headings(lines: DataFrame, rules: T.Rules = T.PYTHON) -> DataFrame:
     """doc, key, level from Markdown lines (doc, line_no, line); of equal keys the last line wins.
 
-    Lines are not stripped, so an indented one is no heading; no noise is dropped. closed: entities without semicolon
-    are text.
+    Lines are not stripped, so an indented one is no heading; no noise is dropped.
     """
-    df = lines.withColumn("level", T.heading_level(F.col("line"))).where("level is not null")
-    df = df.withColumn("key", T.normalize(T.unescape_markdown(F.regexp_extract("line", T.HEADING, 2), closed)))
+    df = lines.withColumn("level", T.heading_level(F.col("line"), rules.heading)).where("level is not null")
+    df = df.withColumn("key", rules.normalize(rules.unescape(F.regexp_extract("line", rules.heading, 2))))
     return df.groupBy("doc", "key").agg(F.max_by("level", "line_no").alias("level"))
 
 
-def promoted_lines(lines: DataFrame, headings: DataFrame) -> DataFrame:
+def promoted_lines(lines: DataFrame, headings: DataFrame, rules: T.Rules = T.PYTHON) -> DataFrame:
     """lines (doc, page_index, line_no, line) with level and out: the marks of the heading whose key equals the
     normalised line, before the unchanged line. A document's dictionary meets only its own lines."""
-    df = lines.withColumn("key", T.normalize(F.col("line"))).join(headings, ["doc", "key"], "left")
+    df = lines.withColumn("key", rules.normalize(F.col("line"))).join(headings, ["doc", "key"], "left")
     return df.withColumn("out", F.when(F.col("level").isNotNull(), F.concat(F.repeat(F.lit("#"), F.col("level")), F.lit(" "), "line")).otherwise(F.col("line"))).drop("key")
 
 
